@@ -36,6 +36,7 @@ class Options:
     attach_transactions  give ContentSquare sessions their purchases
     hot_group_rows  a navigation group with at least this many views is spread
                     over many tasks
+    drop_copies     keep one row of an event that was delivered several times
     """
 
     strict_params: bool = False
@@ -45,4 +46,5 @@ class Options:
     session_grain: str = "date"
     attach_transactions: bool = False
     hot_group_rows: int = 2_000_000
+    drop_copies: bool = True
     sources: Sources = field(default_factory=Sources)

@@ -14,26 +14,28 @@ def sessionise(
     revenue: Column,
     context: list[str],
     grain: str = "date",
+    day: Column | None = None,
 ) -> DataFrame:
     """One row per day, user and session id; ``grain='session'`` drops the day.
 
     Events without a session id are left out. Every measure is an aggregate
     Spark combines before the shuffle, so a session holding a large part of
-    all events costs its rows no more than the others.
+    all events costs its rows no more than the others. A stream names its
+    ``day`` as a time window, so that finished days can leave its state.
     """
     by = ["user_pseudo_id", "ga_session_id"]
-    day = []
+    dates = []
     if grain == "date":
-        by.insert(0, "event_date")
+        by.insert(0, F.col("event_date") if day is None else day)
     else:
-        day = [F.min("event_date").alias("event_date")]
+        dates = [F.min("event_date").alias("event_date")]
     bought = F.col("event_name") == "purchase"
     sessions = (
         events.filter(F.col("ga_session_id").isNotNull())
         .withColumns({"_engagement": engagement, "_revenue": F.when(bought, revenue).otherwise(F.lit(0.0))})
         .groupBy(*by)
         .agg(
-            *day,
+            *dates,
             F.min("event_ts").alias("session_start_ts"),
             F.max("event_ts").alias("session_end_ts"),
             F.count_if(F.col("event_name") == "page_view").alias("page_views_per_session"),
