@@ -71,9 +71,9 @@ class Feed:
 
     @cached_property
     def sessions(self) -> DataFrame:
+        bought = self.cs_transactions if self.options.attach_transactions else None
         return integration.unify_sessions(
-            self.spark, self.ga4, self.snowplow, staging.stage_cs_session(self.cs("sessions")),
-            self.cs_transactions, self.options,
+            self.spark, self.ga4, self.snowplow, staging.stage_cs_session(self.cs("sessions")), bought, self.options
         )
 
     @cached_property

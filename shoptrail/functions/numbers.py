@@ -42,5 +42,5 @@ def first_known(value: str, ts: str = "event_ts") -> Column:
     An aggregate over a small (time, value) pair, so it is combined before the
     shuffle; equal times are settled by the value itself.
     """
-    pair = F.struct(F.col(ts).alias("at"), F.col(value).alias("value"))
-    return F.min(F.when(F.col(value).isNotNull(), pair))["value"]
+    pair = f"named_struct('at', `{ts}`, 'value', `{value}`)"
+    return F.expr(f"min(if(`{value}` is not null, {pair}, null)).value")

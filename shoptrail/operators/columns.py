@@ -5,7 +5,6 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from shoptrail import schemas
 
@@ -13,9 +12,9 @@ from shoptrail import schemas
 def conform(df: DataFrame, fields: dict[str, str]) -> DataFrame:
     """Exactly ``fields``: known columns are cast, missing ones are typed NULLs."""
     known = set(df.columns)
-    return df.select(
+    return df.selectExpr(
         *[
-            (F.col(f"`{name}`") if name in known else F.lit(None)).cast(kind).alias(name)
+            f"cast({f'`{name}`' if name in known else 'null'} as {kind}) as `{name}`"
             for name, kind in fields.items()
         ]
     )

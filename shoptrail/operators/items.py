@@ -23,15 +23,13 @@ def normalise_items(items: str, source: str, event_name: str) -> Column:
     renames = {} if source == "ga4" else {"item_list_index": "index"}
     absent = _NOT_IN_EVENT[event_name]
 
-    def one(item: Column) -> Column:
-        fields = []
-        for name, kind in schemas.ITEM_FIELDS.items():
-            origin = renames.get(name, name)
-            known = origin in raw and name not in absent
-            fields.append((item[origin] if known else F.lit(None)).cast(kind).alias(name))
-        return F.struct(*fields)
-
-    return F.coalesce(F.transform(F.col(items), one), F.array().cast(schemas.ITEM_ARRAY))
+    fields = []
+    for name, kind in schemas.ITEM_FIELDS.items():
+        origin = renames.get(name, name)
+        value = f"item.`{origin}`" if origin in raw and name not in absent else "null"
+        fields.append(f"'{name}', cast({value} as {kind})")
+    rebuilt = f"transform(`{items}`, item -> named_struct({', '.join(fields)}))"
+    return F.expr(f"coalesce({rebuilt}, cast(array() as {schemas.ITEM_ARRAY}))")
 
 
 def one_row_per_item(events: DataFrame) -> DataFrame:

@@ -18,11 +18,11 @@ from shoptrail.functions.text import mobile_flag, text_flag
 
 def _renamed(names: dict[str, str]) -> list[Column]:
     """``{new name: raw column}`` as a projection."""
-    return [F.col(raw).alias(new) for new, raw in names.items()]
+    return [F.expr(f"{raw} as {new}") for new, raw in names.items()]
 
 
 def _unknown(fields: dict[str, str], *names: str) -> list[Column]:
-    return [F.lit(None).cast(fields[name]).alias(name) for name in names]
+    return [F.expr(f"cast(null as {fields[name]}) as {name}") for name in names]
 
 
 # ------------------------------------------------------------------------ GA4

@@ -25,6 +25,7 @@ def local_session(app: str, cores: str = "*", partitions: int = 8) -> SparkSessi
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="shoptrail-"))
         .getOrCreate()
     )

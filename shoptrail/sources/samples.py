@@ -14,37 +14,33 @@ user and session ids in two sources.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from shoptrail import schemas
 
-TWO_DAYS = 172_800
-NOON = 43_200
-
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def _text(*parts: str | int | Column) -> Column:
-    return F.concat(*[p.cast("string") if isinstance(p, Column) else F.lit(str(p)) for p in parts])
+def _pick(index: str, *values: str | None) -> str:
+    """The value at ``index`` of a short list."""
+    whens = " ".join(f"when {i} then '{v}'" for i, v in enumerate(values) if v is not None)
+    return f"case {index} {whens} end"
 
 
-def _pick(index: Column, *values: str | None) -> Column:
-    """The value at ``index`` of a short list."""
-    choice = F.lit(None).cast("string")
-    for position, value in enumerate(values):
-        choice = F.when(index == position, F.lit(value)).otherwise(choice)
-    return choice
+def _shape(rows: DataFrame, fields: dict[str, str], values: dict[str, str]) -> DataFrame:
+    """All ``fields``, those without a value as typed NULLs."""
+    return rows.selectExpr(*[f"cast({values.get(n, 'null')} as {kind}) as `{n}`" for n, kind in fields.items()])
 
 
-def _unless(condition: Column, value: Column) -> Column:
-    return F.when(~condition, value)
+def _struct(fields: dict[str, str], values: dict[str, str]) -> str:
+    parts = [f"'{n}', cast({values.get(n, 'null')} as {kind})" for n, kind in fields.items()]
+    return f"named_struct({', '.join(parts)})"
 
 
-def _null(kind: str) -> Column:
-    return F.lit(None).cast(kind)
+def _named(**values: str) -> str:
+    return f"named_struct({', '.join(f"'{n}', {v}" for n, v in values.items())})"
 
 
 def _event_rows(spark: SparkSession, folder: str) -> DataFrame:
@@ -52,444 +48,386 @@ def _event_rows(spark: SparkSession, folder: str) -> DataFrame:
 
     A session lasts from noon to noon two days later, so it crosses midnight.
     """
-    second = F.unix_timestamp("at")
-    return (
-        table(spark, folder, "events")
-        .withColumns({"at": F.col("ts").cast("timestamp"), "k": F.get_json_object("props", "$.k").cast("bigint")})
-        .withColumn("session_start", F.floor((second + NOON) / TWO_DAYS) * TWO_DAYS - NOON)
+    rows = table(spark, folder, "events").selectExpr(
+        "*", "cast(ts as timestamp) as happened", "cast(get_json_object(props, '$.k') as bigint) as k",
+        "cast(floor(value * 100) as bigint) as cents",
     )
+    return rows.selectExpr("*", "(unix_timestamp(happened) + 43200) div 172800 * 172800 - 43200 as session_start")
 
 
 # ------------------------------------------------------------------------ GA4
-def _ga4_item(row: Column, step: Column, position: Column) -> Column:
-    n = (row + position * step) % 50
-    values = {
-        "item_id": _text("SKU-", n),
-        "item_name": _text("Item ", n),
-        "item_brand": _text("Brand#", n % 25),
-        "item_variant": _unless(n % 2 == 0, _text("v", n % 3)),
-        "item_category": _unless(n % 7 == 0, _text("C", n % 5)),
-        "item_category2": F.when(n % 4 == 0, "(not set)").otherwise(_text("S", n % 6)),
-        "item_category3": F.when(n % 3 == 0, "(not set)").otherwise(_text("T", n % 2)),
-        "item_category4": F.lit("(not set)"),
-        "item_category5": _unless(n % 2 == 1, F.lit("(not set)")),
-        "price": n.cast("double") + 0.5,
-        "price_in_usd": n.cast("double") + 0.25,
-        "quantity": position * (n % 3),
-        "item_revenue": (n.cast("double") + 0.5) * 2,
-        "item_revenue_in_usd": _unless(n % 10 == 9, n.cast("double") * 1.5),
-        "affiliation": _unless(n % 5 == 0, F.lit("web")),
-        "coupon": F.when(n % 9 == 0, "SAVE"),
-        "item_list_id": _text("L", n % 3),
-        "item_list_name": _text("List ", n % 3),
-        "item_list_index": position.cast("string"),
-        "promotion_id": F.when(n % 8 == 0, "P8"),
-        "promotion_name": F.when(n % 8 == 0, "Promo"),
-        "creative_name": F.when(n % 6 == 0, "Banner"),
-        "creative_slot": F.when(n % 6 == 0, "top"),
+def _ga4_item(n: str) -> dict[str, str]:
+    """The fields of item number ``n`` at position ``i``."""
+    return {
+        "item_id": f"concat('SKU-', {n})",
+        "item_name": f"concat('Item ', {n})",
+        "item_brand": f"concat('Brand#', {n} % 25)",
+        "item_variant": f"if({n} % 2 != 0, concat('v', {n} % 3), null)",
+        "item_category": f"if({n} % 7 != 0, concat('C', {n} % 5), null)",
+        "item_category2": f"if({n} % 4 = 0, '(not set)', concat('S', {n} % 6))",
+        "item_category3": f"if({n} % 3 = 0, '(not set)', concat('T', {n} % 2))",
+        "item_category4": "'(not set)'",
+        "item_category5": f"if({n} % 2 != 1, '(not set)', null)",
+        "price": f"{n} + 0.5D",
+        "price_in_usd": f"{n} + 0.25D",
+        "quantity": f"i * ({n} % 3)",
+        "item_revenue": f"({n} + 0.5D) * 2",
+        "item_revenue_in_usd": f"if({n} % 10 != 9, {n} * 1.5D, null)",
+        "affiliation": f"if({n} % 5 != 0, 'web', null)",
+        "coupon": f"if({n} % 9 = 0, 'SAVE', null)",
+        "item_list_id": f"concat('L', {n} % 3)",
+        "item_list_name": f"concat('List ', {n} % 3)",
+        "item_list_index": "i",
+        "promotion_id": f"if({n} % 8 = 0, 'P8', null)",
+        "promotion_name": f"if({n} % 8 = 0, 'Promo', null)",
+        "creative_name": f"if({n} % 6 = 0, 'Banner', null)",
+        "creative_slot": f"if({n} % 6 = 0, 'top', null)",
     }
-    return F.struct(*[values[name].cast(kind).alias(name) for name, kind in schemas.GA4_ITEM_FIELDS.items()])
 
 
-def _param(key: str, text: Column | None = None, number: Column | None = None) -> Column:
-    value = F.struct(
-        (_null("string") if text is None else text).alias("string_value"),
-        (_null("bigint") if number is None else number.cast("bigint")).alias("int_value"),
-    )
-    return F.struct(F.lit(key).alias("key"), value.alias("value"))
+def _param(key: str, text: str = "null", number: str = "null", when: str = "true") -> str:
+    value = _named(string_value=f"cast({text} as string)", int_value=f"cast({number} as bigint)")
+    return f"if({when}, {_named(key=f"'{key}'", value=value)}, null)"
+
+
+_GA4_PAGE = """case
+    when k % 7 = 0 then concat('https://shop.example.com?x=', k)
+    when k % 11 = 0 then concat('https://shop.example.com/p/', k, '#top')
+    when k % 19 = 0 then concat('https://shop.example.com/p/', k, '?')
+    else concat('https://shop.example.com/p/', k, '?ref=', user_id) end"""
+_GA4_PARAMS = ", ".join([
+    _param("ga_session_id", number="session_start", when="k % 17 != 0"),
+    _param("page_location", _GA4_PAGE, when="k % 31 != 0"),
+    _param("page_title", "concat('Page ', k)"),
+    _param("page_referrer", "concat('https://ref.example.org/', k % 5)", when="k % 3 != 0"),
+    _param("entrances", number="1", when="k % 5 = 0"),
+    _param(
+        "engagement_time_msec", "case k % 4 when 1 then cast(cents as string) when 2 then 'abc' end",
+        "if(k % 4 = 0, cents, null)", when="k % 4 != 3",
+    ),
+    _param("session_engaged", "if(k % 2 = 0, '1', '0')"),
+])
+_GA4_NUMBER = "((k + i * if(k % 10 = 0, 0, 7)) % 50)"
+_GA4_ITEMS = f"transform(sequence(0L, k % 3), i -> {_struct(schemas.GA4_ITEM_FIELDS, _ga4_item(_GA4_NUMBER))})"
+_GA4 = {
+    "event_date": "date_format(happened, 'yyyyMMdd')",
+    "event_timestamp": "unix_micros(happened)",
+    "event_name": """case event_type
+        when 'view' then 'page_view' when 'purchase' then 'purchase' when 'signup' then 'begin_checkout'
+        when 'error' then if(k % 2 = 0, 'page_view', 'scroll')
+        else if(k % 2 = 0, 'view_item', 'add_to_cart') end""",
+    "event_bundle_sequence_id": "event_id",
+    "user_pseudo_id": "user_id",
+    "event_params": f"array_compact(array({_GA4_PARAMS}))",
+    "ecommerce": _named(
+        transaction_id="if(event_type = 'purchase' and k % 29 != 0, concat('T', event_id), null)",
+        purchase_revenue_in_usd="if(k % 37 != 0, value, null)",
+        purchase_revenue="value * 2",
+        tax_value_in_usd="value / 10",
+        shipping_value_in_usd="cast(k as double)",
+        total_item_quantity="k % 5",
+        unique_items="k % 4",
+    ),
+    "items": f"""case when event_type in ('click', 'purchase') and k % 13 != 0
+        then slice({_GA4_ITEMS}, 1, if(k % 11 = 0, 0, 3)) end""",
+    "traffic_source": _named(
+        name=_pick("user_id % 4", None, "spring", None, "news"),
+        medium=_pick("user_id % 4", None, "cpc", "organic", "email"),
+        source=_pick("user_id % 4", None, "google", "bing", None),
+    ),
+    "device": _named(
+        category=_pick("user_id % 3", "mobile", "desktop", "tablet"),
+        operating_system=_pick("user_id % 3", "iOS", "Windows", "Android"),
+        language=_pick("k % 3", "en", "de", None),
+        web_info=_named(browser=_pick("user_id % 3", "Safari", "Chrome", "Firefox")),
+    ),
+    "geo": _named(
+        continent="concat('C', user_id % 5)",
+        sub_continent="if(k % 2 != 0, concat('SC', user_id % 7), null)",
+        country="concat('N', user_id % 25)",
+        region="concat('R', k % 4)",
+        city="if(k % 6 != 0, concat('City', k % 6), null)",
+    ),
+}
 
 
 def ga4_events(spark: SparkSession, folder: str) -> DataFrame:
     """GA4's shape out of ``events``."""
-    k, user, value, kind = F.col("k"), F.col("user_id"), F.col("value"), F.col("event_type")
-    name = (
-        F.when(kind == "view", "page_view")
-        .when(kind == "purchase", "purchase")
-        .when(kind == "signup", "begin_checkout")
-        .when(kind == "error", F.when(k % 2 == 0, "page_view").otherwise("scroll"))
-        .otherwise(F.when(k % 2 == 0, "view_item").otherwise("add_to_cart"))
-    )
-    page = (
-        F.when(k % 7 == 0, _text("https://shop.example.com?x=", k))
-        .when(k % 11 == 0, _text("https://shop.example.com/p/", k, "#top"))
-        .when(k % 19 == 0, _text("https://shop.example.com/p/", k, "?"))
-        .otherwise(_text("https://shop.example.com/p/", k, "?ref=", user))
-    )
-    cents = F.floor(value * 100)
-    params = F.array_compact(F.array(
-        _unless(k % 17 == 0, _param("ga_session_id", number=F.col("session_start"))),
-        _unless(k % 31 == 0, _param("page_location", page)),
-        _param("page_title", _text("Page ", k)),
-        _unless(k % 3 == 0, _param("page_referrer", _text("https://ref.example.org/", k % 5))),
-        F.when(k % 5 == 0, _param("entrances", number=F.lit(1))),
-        F.when(k % 4 == 0, _param("engagement_time_msec", number=cents))
-        .when(k % 4 == 1, _param("engagement_time_msec", cents.cast("string")))
-        .when(k % 4 == 2, _param("engagement_time_msec", F.lit("abc"))),
-        _param("session_engaged", F.when(k % 2 == 0, "1").otherwise("0")),
-    ))
-    bought = kind == "purchase"
-    ecommerce = F.struct(
-        F.when(bought & (k % 29 != 0), _text("T", F.col("event_id"))).alias("transaction_id"),
-        _unless(k % 37 == 0, value).alias("purchase_revenue_in_usd"),
-        (value * 2).alias("purchase_revenue"),
-        (value / 10).alias("tax_value_in_usd"),
-        k.cast("double").alias("shipping_value_in_usd"),
-        (k % 5).alias("total_item_quantity"),
-        (k % 4).alias("unique_items"),
-    )
-    step = F.when(k % 10 == 0, 0).otherwise(7)
-    some = F.transform(F.sequence(F.lit(0).cast("bigint"), k % 3), lambda i: _ga4_item(k, step, i))
-    with_items = kind.isin("click", "purchase") & (k % 13 != 0)
-    items = F.when(with_items, F.when(k % 11 == 0, F.slice(some, 1, 0)).otherwise(some))
-    return _event_rows(spark, folder).select(
-        F.date_format("at", "yyyyMMdd").alias("event_date"),
-        F.unix_micros("at").alias("event_timestamp"),
-        name.alias("event_name"),
-        F.col("event_id").alias("event_bundle_sequence_id"),
-        user.cast("string").alias("user_pseudo_id"),
-        params.alias("event_params"),
-        ecommerce.alias("ecommerce"),
-        items.alias("items"),
-        F.struct(
-            _pick(user % 4, None, "spring", None, "news").alias("name"),
-            _pick(user % 4, None, "cpc", "organic", "email").alias("medium"),
-            _pick(user % 4, None, "google", "bing", None).alias("source"),
-        ).alias("traffic_source"),
-        F.struct(
-            _pick(user % 3, "mobile", "desktop", "tablet").alias("category"),
-            _pick(user % 3, "iOS", "Windows", "Android").alias("operating_system"),
-            _pick(k % 3, "en", "de", None).alias("language"),
-            F.struct(_pick(user % 3, "Safari", "Chrome", "Firefox").alias("browser")).alias("web_info"),
-        ).alias("device"),
-        F.struct(
-            _text("C", user % 5).alias("continent"),
-            _unless(k % 2 == 0, _text("SC", user % 7)).alias("sub_continent"),
-            _text("N", user % 25).alias("country"),
-            _text("R", k % 4).alias("region"),
-            _unless(k % 6 == 0, _text("City", k % 6)).alias("city"),
-        ).alias("geo"),
-    )
+    return _shape(_event_rows(spark, folder), schemas.GA4_EVENTS, _GA4)
 
 
 # ------------------------------------------------------------------- Snowplow
 def _order_rows(spark: SparkSession, folder: str) -> DataFrame:
     """``orders`` with a time of day and an id of the three-year period."""
-    second = F.unix_timestamp(F.col("o_orderdate").cast("timestamp")) + F.col("o_orderkey") * 37 % 86_400
-    return table(spark, folder, "orders").withColumns({
-        "at": F.timestamp_seconds(second),
-        "period": F.floor((F.year("o_orderdate") - 1990) / 3),
-    })
-
-
-def _snowplow_item(order: Column, position: Column) -> Column:
-    n = (order + position * 7) % 50
-    values = {
-        "item_id": _text("SKU-", n),
-        "item_name": _text("Item ", n),
-        "item_brand": _text("Brand#", n % 25),
-        "item_variant": _unless(n % 2 == 0, _text("v", n % 3)),
-        "item_category": _unless(n % 7 == 0, _text("C", n % 5)),
-        "item_category2": F.when(n % 4 == 0, "(not set)").otherwise(_text("S", n % 6)),
-        "price": n.cast("double") + 0.75,
-        "quantity": position + 1,
-        "affiliation": F.lit("shop"),
-        "coupon": F.when(order % 5 == 0, "SP5"),
-        "item_list_id": _text("L", n % 3),
-        "item_list_name": _text("List ", n % 3),
-        "index": position.cast("string"),
-        "discount": position.cast("double") / 2,
+    return table(spark, folder, "orders").selectExpr(
+        "*", "o_orderkey as o", "o_custkey as c",
+        "timestamp_seconds(unix_timestamp(cast(o_orderdate as timestamp)) + o_orderkey * 37 % 86400) as happened",
+        "cast((year(o_orderdate) - 1990) div 3 as bigint) as period",
+    )
+
+
+def _snowplow_item(n: str) -> dict[str, str]:
+    return {
+        "item_id": f"concat('SKU-', {n})",
+        "item_name": f"concat('Item ', {n})",
+        "item_brand": f"concat('Brand#', {n} % 25)",
+        "item_variant": f"if({n} % 2 != 0, concat('v', {n} % 3), null)",
+        "item_category": f"if({n} % 7 != 0, concat('C', {n} % 5), null)",
+        "item_category2": f"if({n} % 4 = 0, '(not set)', concat('S', {n} % 6))",
+        "price": f"{n} + 0.75D",
+        "quantity": "i + 1",
+        "affiliation": "'shop'",
+        "coupon": "if(o % 5 = 0, 'SP5', null)",
+        "item_list_id": f"concat('L', {n} % 3)",
+        "item_list_name": f"concat('List ', {n} % 3)",
+        "index": "i",
+        "discount": "i / 2D",
     }
-    return F.struct(*[values[name].cast(kind).alias(name) for name, kind in schemas.SNOWPLOW_ITEM_FIELDS.items()])
+
+
+_SP_NUMBER = "((o + i * 7) % 50)"
+_SP_ITEMS = f"transform(sequence(0L, o % 4), i -> {_struct(schemas.SNOWPLOW_ITEM_FIELDS, _snowplow_item(_SP_NUMBER))})"
+_SP_NAME = """case o_orderstatus when 'O' then 'page_view' when 'F' then if(o % 2 = 0, 'view_item', 'add_to_cart')
+    else if(o % 3 = 0, 'begin_checkout', 'purchase') end"""
+_SP_URL = "concat('https://sp.example.com/o/', o % 40)"
+_SNOWPLOW = {
+    "event_id": "concat('sp-', o)",
+    "user_pseudo_id": "c",
+    "user_id": "concat('u', c)",
+    "session_id": "if(o % 19 != 0, c * 10 + period, null)",
+    "collector_tstamp": "happened",
+    "dvce_created_tstamp": "happened",
+    "etl_tstamp": "happened",
+    "event_name": _SP_NAME,
+    "app_id": "'shop'",
+    "platform": "'web'",
+    "debug_mode": "false",
+    "ecommerce": _named(
+        transaction_id="if(o_orderstatus = 'P' and o % 3 != 0, concat('O', o), null)",
+        value="o_totalprice",
+        tax="o_totalprice / 100",
+        shipping="cast(o % 10 as double)",
+        currency=_pick("o % 3", "USD", "EUR", None),
+        items=f"if(o % 13 != 0, slice({_SP_ITEMS}, 1, cast(o % 4 as int)), null)",
+    ),
+    "traffic_source": _named(
+        source=_pick("c % 3", "google", "letter", None),
+        medium=_pick("c % 3", "cpc", "email", None),
+        campaign="concat('K', c % 4)",
+        content="if(o % 2 != 0, 'text', null)",
+        term="cast(null as string)",
+    ),
+    "device": _named(
+        category=_pick("c % 3", "mobile", "desktop", "tablet"),
+        os=_pick("c % 3", "iOS", "Windows", "Android"),
+        browser=_pick("c % 3", "Safari", "Chrome", "Firefox"),
+    ),
+    "br_lang": _pick("o % 3", "en", "fr", None),
+    "br_family": _pick("c % 3", "Safari", "Chrome", "Firefox"),
+    "br_name": _pick("c % 3", "Safari 9", "Chrome 9", "Firefox 9"),
+    "br_version": "c % 7 + 0.5D",
+    "br_type": "'Browser'",
+    "br_viewheight": "600 + o % 100",
+    "br_viewwidth": "900 + o % 100",
+    "br_cookies": "o % 2 = 0",
+    "dvce_type": _pick("c % 3", "Mobile", "Computer", "Tablet"),
+    "dvce_ismobile": "c % 3 = 0",
+    "dvce_screenheight": "1000 + c % 9",
+    "dvce_screenwidth": "2000 + c % 9",
+    "os_name": _pick("c % 3", "iOS", "Windows", "Android"),
+    "os_timezone": "'UTC'",
+    "geo": _named(
+        country="concat('N', c % 25)",
+        region="concat('R', o % 4)",
+        region_name="concat('Region ', o % 4)",
+        city="if(o % 6 != 0, concat('City', o % 6), null)",
+        zipcode="lpad(cast(c % 1000 as string), 5, '0')",
+        timezone="'UTC'",
+        latitude="cast(c % 180 - 90 as double)",
+        longitude="cast(c % 360 - 180 as double)",
+    ),
+    "page_location": f"if(o % 9 != 0, concat({_SP_URL}, '?s=', o), null)",
+    "page_url": _SP_URL,
+    "page_title": "concat('Order ', o % 40)",
+    "page_referrer": "if(o % 3 != 0, 'https://ref.example.org/sp', null)",
+    "page_urlhost": "'sp.example.com'",
+    "page_urlpath": "concat('/o/', o % 40)",
+    "page_urlquery": "concat('s=', o)",
+    "engagement_time_msec": "if(o % 7 != 0, o % 5000, null)",
+    "user_properties": _named(
+        customer_segment="concat('S', c % 4)",
+        loyalty_tier=_pick("c % 4", "gold", "silver", "bronze", None),
+        subscription_status=_pick("c % 2", "active", "none"),
+    ),
+    "domain_sessionidx": "period",
+    "user_ipaddress": "concat('10.0.0.', c % 250)",
+    "ga4_adapter": _named(source="'gtm'", original_event_name=_SP_NAME, data_layer_version="'1'"),
+    "v_tracker": "'js-3'",
+}
 
 
 def snowplow_events(spark: SparkSession, folder: str) -> DataFrame:
     """Snowplow's shape out of ``orders``."""
-    o, c, status, total = F.col("o_orderkey"), F.col("o_custkey"), F.col("o_orderstatus"), F.col("o_totalprice")
-    name = (
-        F.when(status == "O", "page_view")
-        .when(status == "F", F.when(o % 2 == 0, "view_item").otherwise("add_to_cart"))
-        .otherwise(F.when(o % 3 == 0, "begin_checkout").otherwise("purchase"))
-    )
-    some = F.transform(F.sequence(F.lit(0).cast("bigint"), o % 4), lambda i: _snowplow_item(o, i))
-    items = _unless(o % 13 == 0, F.slice(some, 1, (o % 4).cast("int")))
-    url = _text("https://sp.example.com/o/", o % 40)
-    third = c % 3
-    values = {
-        "event_id": _text("sp-", o),
-        "user_pseudo_id": c.cast("string"),
-        "user_id": _text("u", c),
-        "session_id": _unless(o % 19 == 0, (c * 10 + F.col("period")).cast("string")),
-        "collector_tstamp": F.col("at"),
-        "dvce_created_tstamp": F.col("at"),
-        "etl_tstamp": F.col("at"),
-        "event_name": name,
-        "app_id": F.lit("shop"),
-        "platform": F.lit("web"),
-        "debug_mode": F.lit(False),
-        "ecommerce": F.struct(
-            F.when(name == "purchase", _text("O", o)).alias("transaction_id"),
-            total.alias("value"),
-            (total / 100).alias("tax"),
-            (o % 10).cast("double").alias("shipping"),
-            _pick(o % 3, "USD", "EUR", None).alias("currency"),
-            items.alias("items"),
-        ),
-        "traffic_source": F.struct(
-            _pick(third, "google", "letter", None).alias("source"),
-            _pick(third, "cpc", "email", None).alias("medium"),
-            _text("K", c % 4).alias("campaign"),
-            _unless(o % 2 == 0, F.lit("text")).alias("content"),
-            _null("string").alias("term"),
-        ),
-        "device": F.struct(
-            _pick(third, "mobile", "desktop", "tablet").alias("category"),
-            _pick(third, "iOS", "Windows", "Android").alias("os"),
-            _pick(third, "Safari", "Chrome", "Firefox").alias("browser"),
-        ),
-        "br_lang": _pick(o % 3, "en", "fr", None),
-        "br_family": _pick(third, "Safari", "Chrome", "Firefox"),
-        "br_name": _pick(third, "Safari 9", "Chrome 9", "Firefox 9"),
-        "br_version": (c % 7).cast("double") + 0.5,
-        "br_type": F.lit("Browser"),
-        "br_viewheight": 600 + o % 100,
-        "br_viewwidth": 900 + o % 100,
-        "br_cookies": o % 2 == 0,
-        "dvce_type": _pick(third, "Mobile", "Computer", "Tablet"),
-        "dvce_ismobile": third == 0,
-        "dvce_screenheight": 1000 + c % 9,
-        "dvce_screenwidth": 2000 + c % 9,
-        "os_name": _pick(third, "iOS", "Windows", "Android"),
-        "os_timezone": F.lit("UTC"),
-        "geo": F.struct(
-            _text("N", c % 25).alias("country"),
-            _text("R", o % 4).alias("region"),
-            _text("Region ", o % 4).alias("region_name"),
-            _unless(o % 6 == 0, _text("City", o % 6)).alias("city"),
-            F.lpad((c % 1000).cast("string"), 5, "0").alias("zipcode"),
-            F.lit("UTC").alias("timezone"),
-            ((c % 180) - 90).cast("double").alias("latitude"),
-            ((c % 360) - 180).cast("double").alias("longitude"),
-        ),
-        "page_location": _unless(o % 9 == 0, F.concat(url, _text("?s=", o))),
-        "page_url": url,
-        "page_title": _text("Order ", o % 40),
-        "page_referrer": _unless(o % 3 == 0, F.lit("https://ref.example.org/sp")),
-        "page_urlhost": F.lit("sp.example.com"),
-        "page_urlpath": _text("/o/", o % 40),
-        "page_urlquery": _text("s=", o),
-        "page_urlfragment": _null("string"),
-        "engagement_time_msec": _unless(o % 7 == 0, o % 5000),
-        "user_properties": F.struct(
-            _text("S", c % 4).alias("customer_segment"),
-            _pick(c % 4, "gold", "silver", "bronze", None).alias("loyalty_tier"),
-            _pick(c % 2, "active", "none").alias("subscription_status"),
-        ),
-        "domain_sessionidx": F.col("period"),
-        "user_ipaddress": _text("10.0.0.", c % 250),
-        "ga4_adapter": F.struct(
-            F.lit("gtm").alias("source"), name.alias("original_event_name"), F.lit("1").alias("data_layer_version")
-        ),
-        "v_tracker": F.lit("js-3"),
-    }
-    return _order_rows(spark, folder).select(
-        *[values.get(n, F.lit(None)).cast(kind).alias(n) for n, kind in schemas.SNOWPLOW_EVENTS.items()]
-    )
+    return _shape(_order_rows(spark, folder), schemas.SNOWPLOW_EVENTS, _SNOWPLOW)
 
 
 # -------------------------------------------------------------- ContentSquare
-def _shape(rows: DataFrame, name: str, values: dict[str, Column]) -> DataFrame:
-    fields = schemas.CONTENTSQUARE_TABLES[name]
-    return rows.select(*[values.get(n, F.lit(None)).cast(kind).alias(n) for n, kind in fields.items()])
-
-
-def _place(n: Column) -> dict[str, Column]:
+def _place(n: str) -> dict[str, str]:
     return {
-        "platform": _pick(n % 3, "iOS", "Windows", "Android"),
-        "device_type": _pick(n % 4, "Mobile", "DESKTOP", "tablet", None),
-        "country": _text("N", n % 25),
-        "region": _text("R", n % 4),
-        "city": _unless(n % 6 == 0, _text("City", n % 6)),
+        "platform": _pick(f"{n} % 3", "iOS", "Windows", "Android"),
+        "device_type": _pick(f"{n} % 4", "Mobile", "DESKTOP", "tablet", None),
+        "country": f"concat('N', {n} % 25)",
+        "region": f"concat('R', {n} % 4)",
+        "city": f"if({n} % 6 != 0, concat('City', {n} % 6), null)",
     }
 
 
-def _utm(n: Column) -> dict[str, Column]:
+def _utm(n: str) -> dict[str, str]:
     return {
-        "utm_medium": _pick(n % 3, "cpc", "email", None),
-        "utm_source": _pick(n % 3, "google", "letter", None),
-        "utm_content": _unless(n % 2 == 0, F.lit("text")),
-        "utm_term": F.when(n % 5 == 0, "shoes"),
-        "utm_campaign": _text("K", n % 4),
+        "utm_medium": _pick(f"{n} % 3", "cpc", "email", None),
+        "utm_source": _pick(f"{n} % 3", "google", "letter", None),
+        "utm_content": f"if({n} % 2 != 0, 'text', null)",
+        "utm_term": f"if({n} % 5 = 0, 'shoes', null)",
+        "utm_campaign": f"concat('K', {n} % 4)",
     }
 
 
-def _measure(n: Column, bad: Column) -> Column:
+def _measure(n: str, bad: str) -> str:
     """A number sent as text, sometimes nonsense."""
-    return F.when(bad, "abc").otherwise(_text(n, ".5"))
-
-
-def _cs_sessions(spark: SparkSession, folder: str) -> DataFrame:
-    o, c = F.col("o_orderkey"), F.col("o_custkey")
-    return _shape(_order_rows(spark, folder), "sessions", {
-        "time": F.col("at"),
-        "user_id": c,
-        "session_id": o,
-        "session_duration": F.when(o % 5 == 0, "abc").when(o % 5 > 1, (o % 3600).cast("string")),
-        "session_number_of_views": 1 + o % 9,
-        "frustration_score": _unless(o % 6 == 0, o % 100),
-        "looping_index": o % 10,
-        "page_consumption": F.when(o % 8 == 0, "12.5").otherwise((o % 50).cast("string")),
-        **_utm(c),
-        **_place(o),
-        "browser": _pick(c % 3, "Safari", "Chrome", "Firefox"),
-        "session_language": _pick(o % 3, "en", "fr", None),
-    })
-
-
-def _cs_pageviews(spark: SparkSession, folder: str) -> DataFrame:
-    k, user, e = F.col("k"), F.col("user_id"), F.col("event_id")
-    cents = F.floor(F.col("value") * 100)
-    return _shape(_event_rows(spark, folder), "pageviews", {
-        "event_id": e,
-        "user_id": user,
-        "session_id": F.col("session_start"),
-        "time": F.col("at"),
-        **_place(k),
-        "referrer": _unless(k % 3 == 0, _text("https://ref.example.org/", k % 5)),
-        "path": _unless(k % 13 == 0, _text("/c/", k % 20)),
-        "query": F.when(k % 2 == 0, _text("a=", k)),
-        "hash": F.when(k % 5 == 0, "top"),
-        "title": _text("Page ", k),
-        "view_number": 1 + k % 7,
-        "is_first": _pick(k % 3, "1", "0", None),
-        "is_last": _pick(k % 4, "0", "1", None, None),
-        "scroll_rate": _measure(k, k % 10 == 3),
-        "view_duration_msec": F.when(k % 10 == 4, "12.5").otherwise(cents.cast("string")),
-        "first_input_delay": _measure(k, k % 10 == 5),
-        "interaction_to_next_paint": _measure(k + 1, k % 10 == 6),
-        "time_to_first_byte": _measure(k + 2, k % 10 == 7),
-        "largest_contentful_paint": _measure(F.floor(F.col("value") * 60), k % 10 == 8),
-        "cumulative_layout_shift": F.concat(F.lit("0."), (k % 9).cast("string"), F.lit("25")),
-        "dom_interactive_after_msec": F.when(k % 10 == 9, "abc").otherwise(cents.cast("string")),
-        "fully_loaded": (cents + 5).cast("string"),
-        "first_contentful_paint": _measure(k + 3, k % 10 == 2),
-        "start_render": _measure(k + 4, k % 10 == 1),
-        "window_height": 600 + k,
-        "window_width": F.when(k % 12 == 0, "").otherwise((900 + k).cast("string")),
-        **_utm(user),
-        "browser": _pick(user % 3, "Safari", "Chrome", "Firefox"),
-        "landing_page": F.lit("https://cs.example.com/"),
-        "session_replay_link": _text("https://replay.example.com/", e),
-    })
-
-
-def _cs_add_to_cart(spark: SparkSession, folder: str) -> DataFrame:
-    k, user, e = F.col("k"), F.col("user_id"), F.col("event_id")
-    return _shape(_event_rows(spark, folder), "add_to_cart", {
-        "event_id": e,
-        "user_id": user,
-        "session_id": F.col("session_start"),
-        "time": F.col("at"),
-        "type": F.lit("click"),
-        **_place(k),
-        "pageview_id": e + 1,
-        "path": _text("/c/", k % 20),
-        "query": F.when(k % 2 == 0, _text("a=", k)),
-        "title": _text("Page ", k),
-        "domain": F.lit("cs.example.com"),
-        "href": _unless(k % 4 == 0, F.lit("/cart")),
-        "target_text": F.lit("Add to cart"),
-        **_utm(user),
-        "browser": _pick(user % 3, "Safari", "Chrome", "Firefox"),
-        "landing_page": F.lit("https://cs.example.com/"),
-    })
-
-
-def _cs_transactions(spark: SparkSession, folder: str) -> DataFrame:
-    o = F.col("o_orderkey")
-    return _shape(_order_rows(spark, folder), "ecommerce_transactions", {
-        "event_id": o,
-        "user_id": F.col("o_custkey"),
-        "session_id": _unless(o % 4 == 0, o.cast("string")),
-        "time": F.col("at"),
-        "type": F.lit("transaction"),
-        **_place(o),
-        "transaction_amount": F.col("o_totalprice"),
-        "transaction_currency": _pick(o % 3, "USD", "EUR", "GBP"),
-    })
-
-
-def _cs_line_signal(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """Friction signals out of ``lineitem``; an order's lines are one session's."""
-    o, n, p, s = F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_partkey"), F.col("l_suppkey")
-    second = F.unix_timestamp(F.col("l_shipdate").cast("timestamp")) + p * 41 % 86_400
-    return _shape(table(spark, folder, "lineitem"), name, {
-        "event_id": _text(o, "-", n, "-", p, "-", s),
-        "user_id": s,
-        "session_id": o,
-        "time": F.timestamp_seconds(second),
-        "type": F.col("l_linestatus"),
-        **_place(p),
-        "pageview_id": p,
-        "domain": F.lit("cs.example.com"),
-        "path": _text("/c/", p % 20),
-        "landing_page": F.lit("https://cs.example.com/"),
-        "target_text": F.col("l_returnflag"),
-        "target_path": _text("div#", n),
-        "frustration_score": F.col("l_quantity").cast("bigint"),
-        "relative_time": p % 600,
-        "value": n,
-        "library": F.lit("web"),
-    })
-
-
-def _cs_event_errors(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """Script and call errors out of ``events``."""
-    k, e = F.col("k"), F.col("event_id")
-    return _shape(_event_rows(spark, folder), name, {
-        "event_id": e,
-        "user_id": F.col("user_id"),
-        "session_id": e,
-        "time": F.col("at"),
-        "type": F.col("event_type"),
-        **_place(k),
-        "pageview_id": e + 1,
-        "error_message": _text("Error ", k % 9),
-        "error_line_number": k,
-        "js_error_file_name": _text("app", k % 3, ".js"),
-        "js_error_column_number": k % 80,
-        "api_error_duration": k * 10,
-        "api_error_endpoint": _text("/api/", k % 6),
-        "api_error_method": _pick(k % 2, "GET", "POST"),
-        "api_error_status_code": 500 + k % 4,
-        "errors_after_clicks": k % 3,
-        "error_group_id": _text("g", k % 9),
-        "error_source": F.lit("page"),
-        "landing_page": F.lit("https://cs.example.com/"),
-        "library": F.lit("web"),
-    })
-
-
-def _cs_signal(spark: SparkSession, folder: str) -> DataFrame:
-    """The common columns of the tables of which no others are known."""
-    rows = _cs_event_errors(spark, folder, "js_errors")
-    return rows.select(
-        "event_id", "user_id", "session_id", "time", "type", "platform", "device_type",
-        "country", "region", "city", "referrer",
-    )
+    return f"if({bad}, 'abc', concat({n}, '.5'))"
+
+
+_BROWSER_OF_USER = _pick("user_id % 3", "Safari", "Chrome", "Firefox")
+_FROM_EVENT = {"event_id": "event_id", "user_id": "user_id", "session_id": "session_start", "time": "happened"}
+_CS_SESSIONS = {
+    "time": "happened",
+    "user_id": "c",
+    "session_id": "o",
+    "session_duration": "case when o % 5 = 0 then 'abc' when o % 5 > 1 then cast(o % 3600 as string) end",
+    "session_number_of_views": "1 + o % 9",
+    "frustration_score": "if(o % 6 != 0, o % 100, null)",
+    "looping_index": "o % 10",
+    "page_consumption": "if(o % 8 = 0, '12.5', cast(o % 50 as string))",
+    **_utm("c"),
+    **_place("o"),
+    "browser": _pick("c % 3", "Safari", "Chrome", "Firefox"),
+    "session_language": _pick("o % 3", "en", "fr", None),
+}
+_CS_PAGEVIEWS = {
+    **_FROM_EVENT,
+    **_place("k"),
+    "referrer": "if(k % 3 != 0, concat('https://ref.example.org/', k % 5), null)",
+    "path": "if(k % 13 != 0, concat('/c/', k % 20), null)",
+    "query": "if(k % 2 = 0, concat('a=', k), null)",
+    "hash": "if(k % 5 = 0, 'top', null)",
+    "title": "concat('Page ', k)",
+    "view_number": "1 + k % 7",
+    "is_first": _pick("k % 3", "1", "0", None),
+    "is_last": _pick("k % 4", "0", "1", None, None),
+    "scroll_rate": _measure("k", "k % 10 = 3"),
+    "view_duration_msec": "if(k % 10 = 4, '12.5', cast(cents as string))",
+    "first_input_delay": _measure("k", "k % 10 = 5"),
+    "interaction_to_next_paint": _measure("k + 1", "k % 10 = 6"),
+    "time_to_first_byte": _measure("k + 2", "k % 10 = 7"),
+    "largest_contentful_paint": _measure("cast(floor(value * 60) as bigint)", "k % 10 = 8"),
+    "cumulative_layout_shift": "concat('0.', k % 9, '25')",
+    "dom_interactive_after_msec": "if(k % 10 = 9, 'abc', cast(cents as string))",
+    "fully_loaded": "cents + 5",
+    "first_contentful_paint": _measure("k + 3", "k % 10 = 2"),
+    "start_render": _measure("k + 4", "k % 10 = 1"),
+    "window_height": "600 + k",
+    "window_width": "if(k % 12 = 0, '', cast(900 + k as string))",
+    **_utm("user_id"),
+    "browser": _BROWSER_OF_USER,
+    "landing_page": "'https://cs.example.com/'",
+    "session_replay_link": "concat('https://replay.example.com/', event_id)",
+}
+_CS_ADD_TO_CART = {
+    **_FROM_EVENT,
+    "type": "'click'",
+    **_place("k"),
+    "pageview_id": "event_id + 1",
+    "path": "concat('/c/', k % 20)",
+    "query": "if(k % 2 = 0, concat('a=', k), null)",
+    "title": "concat('Page ', k)",
+    "domain": "'cs.example.com'",
+    "href": "if(k % 4 != 0, '/cart', null)",
+    "target_text": "'Add to cart'",
+    **_utm("user_id"),
+    "browser": _BROWSER_OF_USER,
+    "landing_page": "'https://cs.example.com/'",
+}
+_CS_TRANSACTIONS = {
+    "event_id": "o",
+    "user_id": "c",
+    "session_id": "if(o % 4 != 0, o, null)",
+    "time": "happened",
+    "type": "'transaction'",
+    **_place("o"),
+    "transaction_amount": "o_totalprice",
+    "transaction_currency": _pick("o % 3", "USD", "EUR", "GBP"),
+}
+# Friction signals out of lines: an order's lines are one session's.
+_CS_LINE_SIGNAL = {
+    "event_id": "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey)",
+    "user_id": "l_suppkey",
+    "session_id": "l_orderkey",
+    "time": "timestamp_seconds(unix_timestamp(cast(l_shipdate as timestamp)) + l_partkey * 41 % 86400)",
+    "type": "l_linestatus",
+    **_place("l_partkey"),
+    "pageview_id": "l_partkey",
+    "domain": "'cs.example.com'",
+    "path": "concat('/c/', l_partkey % 20)",
+    "landing_page": "'https://cs.example.com/'",
+    "target_text": "l_returnflag",
+    "target_path": "concat('div#', l_linenumber)",
+    "frustration_score": "l_quantity",
+    "relative_time": "l_partkey % 600",
+    "value": "l_linenumber",
+    "library": "'web'",
+}
+_CS_ERROR = {
+    **_FROM_EVENT,
+    "session_id": "event_id",
+    "type": "event_type",
+    **_place("k"),
+    "pageview_id": "event_id + 1",
+    "error_message": "concat('Error ', k % 9)",
+    "error_line_number": "k",
+    "js_error_file_name": "concat('app', k % 3, '.js')",
+    "js_error_column_number": "k % 80",
+    "api_error_duration": "k * 10",
+    "api_error_endpoint": "concat('/api/', k % 6)",
+    "api_error_method": _pick("k % 2", "GET", "POST"),
+    "api_error_status_code": "500 + k % 4",
+    "errors_after_clicks": "k % 3",
+    "error_group_id": "concat('g', k % 9)",
+    "error_source": "'page'",
+    "landing_page": "'https://cs.example.com/'",
+    "library": "'web'",
+}
+_CS_TABLES = {
+    "sessions": (_order_rows, _CS_SESSIONS),
+    "pageviews": (_event_rows, _CS_PAGEVIEWS),
+    "add_to_cart": (_event_rows, _CS_ADD_TO_CART),
+    "ecommerce_transactions": (_order_rows, _CS_TRANSACTIONS),
+    "rage_click": (lambda spark, folder: table(spark, folder, "lineitem"), _CS_LINE_SIGNAL),
+    "excessive_hovering": (lambda spark, folder: table(spark, folder, "lineitem"), _CS_LINE_SIGNAL),
+    "js_errors": (_event_rows, _CS_ERROR),
+    "api_errors": (_event_rows, _CS_ERROR),
+}
 
 
 def contentsquare(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """One ContentSquare table's shape."""
+    """One ContentSquare table's shape.
+
+    The tables of which no columns are published get the common ones.
+    """
     if name in schemas.CONTENTSQUARE_SIGNALS:
-        return _cs_signal(spark, folder)
-    if name in ("rage_click", "excessive_hovering"):
-        return _cs_line_signal(spark, folder, name)
-    if name in ("js_errors", "api_errors"):
-        return _cs_event_errors(spark, folder, name)
-    makers = {
-        "sessions": _cs_sessions,
-        "pageviews": _cs_pageviews,
-        "add_to_cart": _cs_add_to_cart,
-        "ecommerce_transactions": _cs_transactions,
-    }
-    return makers[name](spark, folder)
+        errors = contentsquare(spark, folder, "js_errors")
+        return errors.select(
+            "event_id", "user_id", "session_id", "time", "type", "platform", "device_type",
+            "country", "region", "city", "referrer",
+        )
+    rows, values = _CS_TABLES[name]
+    return _shape(rows(spark, folder), schemas.CONTENTSQUARE_TABLES[name], values)
