@@ -34,6 +34,21 @@ from shoptrail.streaming import load as stream
 AS_OF = dt.date(2024, 2, 15)
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
+# Data folder -> folder with its feeds already written (see store_feeds).
+STORED: dict[str, str] = {}
+
+
+def store_feeds(spark: SparkSession, folder: str) -> None:
+    """Write a folder's feeds and facts once, as a run would publish them.
+
+    Queries over that folder then read the feeds, and the analyses the facts,
+    instead of deriving them again.
+    """
+    root = work_path(use_utc(spark), "feeds")
+    samples.write_feeds(spark, folder, root)
+    STORED[folder] = root
+    for name in FACTS:
+        Feed(spark, folder).fact(name).write.parquet(f"{root}/facts/{name}")
 
 
 class Feed:
@@ -46,15 +61,25 @@ class Feed:
     def table(self, name: str) -> DataFrame:
         return samples.table(self.spark, self.folder, name)
 
+    @property
+    def stored(self) -> str | None:
+        return STORED.get(self.folder)
+
     def cs(self, name: str) -> DataFrame:
+        if self.stored:
+            return readers.read_contentsquare(self.spark, f"{self.stored}/contentsquare", name)
         return samples.contentsquare(self.spark, self.folder, name)
 
     @cached_property
     def raw_ga4(self) -> DataFrame:
+        if self.stored:
+            return readers.read_ga4(self.spark, f"{self.stored}/ga4")
         return samples.ga4_events(self.spark, self.folder)
 
     @cached_property
     def raw_snowplow(self) -> DataFrame:
+        if self.stored:
+            return readers.read_snowplow(self.spark, f"{self.stored}/snowplow")
         return samples.snowplow_events(self.spark, self.folder)
 
     @cached_property
@@ -94,14 +119,22 @@ class Feed:
     def purchases(self) -> DataFrame:
         return integration.unify_purchases(self.spark, self.ga4, self.snowplow)
 
+    def published(self, name: str) -> DataFrame:
+        """A fact as analyses see it: its table if there is one."""
+        if self.stored:
+            table = tables.read_table(self.spark, f"{self.stored}/facts/{name}")
+            if table is not None:
+                return table
+        return self.fact(name)
+
     def fact(self, name: str) -> DataFrame:
         makers: dict[str, Callable[[], DataFrame]] = {
             "session_fct": lambda: facts.session_fct(self.sessions),
             "pageview_fct": lambda: facts.pageview_fct(self.pageviews, self.options),
             "product_view_fct": lambda: facts.product_view_fct(self.product_views),
             "add_to_cart_fct": lambda: facts.add_to_cart_fct(self.carts),
-            "purchase_fct": lambda: facts.purchase_fct(self.purchases, self.fact("session_fct")),
-            "user_dim": lambda: facts.user_dim(self.fact("session_fct"), self.options),
+            "purchase_fct": lambda: facts.purchase_fct(self.purchases, self.published("session_fct")),
+            "user_dim": lambda: facts.user_dim(self.published("session_fct"), self.options),
             "conversion_funnel_fct": lambda: facts.conversion_funnel_fct(self.ga4),
             "rage_click_fct": lambda: facts.rage_click_fct(staging.stage_cs_rage_click(self.cs("rage_click"))),
             "js_error_fct": lambda: facts.js_error_fct(staging.stage_cs_js_error(self.cs("js_errors"))),
@@ -283,7 +316,7 @@ FACTS = (
 for _name in FACTS:
     query(_name)(lambda feed, name=_name: feed.fact(name))
 for _name, (_fact, _) in marts.MARTS.items():
-    query(f"mart_{_name}")(lambda feed, name=_name, fact=_fact: marts.mart(name, feed.fact(fact)))
+    query(f"mart_{_name}")(lambda feed, name=_name, fact=_fact: marts.mart(name, feed.published(fact)))
 
 
 @query("session_fct_whole_sessions")
@@ -316,29 +349,29 @@ def _(feed: Feed) -> DataFrame:
 
 
 # -------------------------------------------------------------------- analyses
-query("sessions_by_device")(lambda feed: analyses.sessions_by_device(feed.fact("session_fct")))
-query("slow_pages")(lambda feed: analyses.slow_pages(feed.fact("pageview_fct")))
-query("frustrated_users")(lambda feed: analyses.frustrated_users(feed.fact("rage_click_fct")))
+query("sessions_by_device")(lambda feed: analyses.sessions_by_device(feed.published("session_fct")))
+query("slow_pages")(lambda feed: analyses.slow_pages(feed.published("pageview_fct")))
+query("frustrated_users")(lambda feed: analyses.frustrated_users(feed.published("rage_click_fct")))
 query("friction_by_score")(lambda feed: analyses.friction_by_score(
-    feed.fact("session_fct"), feed.fact("js_error_fct"), feed.fact("rage_click_fct")
+    feed.published("session_fct"), feed.published("js_error_fct"), feed.published("rage_click_fct")
 ))
 query("source_comparison")(lambda feed: analyses.source_comparison(
-    feed.fact("session_fct"), dt.date(1995, 1, 1), dt.date(2024, 1, 31)
+    feed.published("session_fct"), dt.date(1995, 1, 1), dt.date(2024, 1, 31)
 ))
-query("loyalty_by_browser")(lambda feed: analyses.loyalty_by_browser(feed.fact("session_fct"), dt.date(1996, 1, 1)))
+query("loyalty_by_browser")(lambda feed: analyses.loyalty_by_browser(feed.published("session_fct"), dt.date(1996, 1, 1)))
 query("top_converting_sources")(lambda feed: analyses.top_converting_sources(
-    feed.fact("conversion_funnel_fct"), dt.date(2024, 1, 16)
+    feed.published("conversion_funnel_fct"), dt.date(2024, 1, 16)
 ))
-query("high_value_customers")(lambda feed: analyses.high_value_customers(marts.mart("users", feed.fact("user_dim"))))
+query("high_value_customers")(lambda feed: analyses.high_value_customers(marts.mart("users", feed.published("user_dim"))))
 query("product_performance")(lambda feed: analyses.product_performance(
-    feed.fact("product_view_fct"), feed.fact("add_to_cart_fct"), feed.fact("purchase_fct")
+    feed.published("product_view_fct"), feed.published("add_to_cart_fct"), feed.published("purchase_fct")
 ))
 query("volume_by_source")(lambda feed: analyses.volume_by_source({
-    name: feed.fact(name)
+    name: feed.published(name)
     for name in ("session_fct", "pageview_fct", "add_to_cart_fct", "purchase_fct", "product_view_fct")
 }))
 query("kpi_sheet")(lambda feed: analyses.kpi_sheet(
-    feed.fact("session_fct"), feed.fact("pageview_fct"), feed.fact("purchase_fct"), feed.fact("user_dim")
+    feed.published("session_fct"), feed.published("pageview_fct"), feed.published("purchase_fct"), feed.published("user_dim")
 ))
 
 
@@ -732,7 +765,7 @@ def _(feed: Feed) -> DataFrame:
 @query("tests_logical")
 def _(feed: Feed) -> DataFrame:
     models = ("session_fct", "pageview_fct", "purchase_fct", "add_to_cart_fct", "conversion_funnel_fct", "user_dim")
-    parts = [q.run_checks(m, feed.fact(m), checks.logical_checks(m)) for m in models]
+    parts = [q.run_checks(m, feed.published(m), checks.logical_checks(m)) for m in models]
     return reduce(DataFrame.unionByName, parts).drop("sample")
 
 
@@ -750,6 +783,6 @@ def _(feed: Feed) -> DataFrame:
 
 
 query("consistent_totals")(lambda feed: q.consistent_totals(
-    feed.fact("session_fct"), F.sum("purchase_revenue_per_session"),
-    feed.fact("purchase_fct"), F.sum("item_revenue_usd"), 55.0,
+    feed.published("session_fct"), F.sum("purchase_revenue_per_session"),
+    feed.published("purchase_fct"), F.sum("item_revenue_usd"), 55.0,
 ))

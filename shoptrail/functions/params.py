@@ -6,28 +6,29 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def param(params: str | Column, key: str, strict: bool = False) -> Column:
+def param(params: str, key: str, strict: bool = False) -> Column:
     """The value struct of ``key``, NULL if the key is missing.
 
-    A repeated key gives its first value; ``strict`` fails on it instead.
+    A position search instead of a lambda over the array: it runs in generated
+    code, and the scan reads no more of the value struct than is asked for. A
+    repeated key gives its first value; ``strict`` fails on it instead.
     """
-    params = F.col(params) if isinstance(params, str) else params
-    hits = F.filter(params, lambda p: p["key"] == key)
-    first = F.get(hits, F.lit(0))["value"]
+    first = F.expr(f"get({params}, cast(array_position({params}.key, '{key}') as int) - 1).value")
     if not strict:
         return first
-    return F.when(F.size(hits) > 1, F.raise_error(F.lit(f"repeated event parameter {key}"))).otherwise(first)
+    repeated = F.expr(f"size(filter({params}, p -> p.key = '{key}')) > 1")
+    return F.when(repeated, F.raise_error(F.lit(f"repeated event parameter {key}"))).otherwise(first)
 
 
-def param_text(params: str | Column, key: str, strict: bool = False) -> Column:
+def param_text(params: str, key: str, strict: bool = False) -> Column:
     return param(params, key, strict)["string_value"]
 
 
-def param_long(params: str | Column, key: str, strict: bool = False) -> Column:
+def param_long(params: str, key: str, strict: bool = False) -> Column:
     return param(params, key, strict)["int_value"]
 
 
-def param_number(params: str | Column, key: str, strict: bool = False) -> Column:
+def param_number(params: str, key: str, strict: bool = False) -> Column:
     """A whole number sent either as a number or as text.
 
     Text that is no number gives NULL; ``strict`` reads the text value only

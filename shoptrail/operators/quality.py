@@ -132,10 +132,10 @@ def _one_scan(df: DataFrame, checks: list[Check]) -> DataFrame:
 def _duplicates(df: DataFrame, check: Check) -> DataFrame:
     """Keys that occur more than once; NULL keys do not count as equal."""
     whole = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in check.keys])
-    counted = df.groupBy(*check.keys).agg(F.count(F.lit(1)).alias("n"))
-    twice = whole & (F.col("n") > 1)
+    counted = df.groupBy(*check.keys).agg(F.count(F.lit(1)).alias("_copies"))
+    twice = whole & (F.col("_copies") > 1)
     key = F.concat_ws("-", *[F.col(k).cast("string") for k in check.keys])
-    result = _result(check, F.count_if(twice), F.coalesce(F.sum("n"), F.lit(0)), F.min(F.when(twice, key)))
+    result = _result(check, F.count_if(twice), F.coalesce(F.sum("_copies"), F.lit(0)), F.min(F.when(twice, key)))
     return counted.agg(result.alias("r")).select("r.*")
 
 
