@@ -6,7 +6,7 @@ from catalog.duck_feeds import (
     AS_OF, CS_SESSION_ROWS, GA4_SESSIONS, GEO, HOST, LABEL, PATH, QUERY, SNOWPLOW_SESSIONS, USER, event_sessions, funnel,
     key, matched, nulls, query,
 )
-from catalog.rounding import ROUNDED
+from catalog.rounding import ROUNDED, places
 from shoptrail import schemas
 from shoptrail.plans.checks import INTEGRATION, STAGING, WAREHOUSE, Declared
 
@@ -16,7 +16,7 @@ SQL: dict[str, str] = {}
 def add(name: str, select: str, *needs: str, extra: str = "") -> None:
     columns = ROUNDED.get(name)
     if columns:
-        replaced = ", ".join(f"round({c}, 6) as {c}" for c in columns)
+        replaced = ", ".join(f"round({c}, {places(name, c)}) as {c}" for c in columns)
         select = f"select * replace ({replaced}) from ({select})"
     SQL[name] = query(select, *needs, extra=extra)
 
@@ -381,6 +381,17 @@ add("source_union", """
 # ------------------------------------------------------- incremental, streaming
 add("incremental_sessions", "select * from session_fct where source = 'ga4'", "session_fct")
 add("incremental_pageviews", "select * from pageview_fct where source <> 'snowplow'", "pageview_fct")
+_RUN = {
+    "session_fct": ("session_pk", "source = 'ga4'"), "pageview_fct": ("pageview_pk", "source <> 'snowplow'"),
+    "product_view_fct": ("product_view_pk", "source = 'ga4'"), "add_to_cart_fct": ("add_to_cart_pk", "source = 'ga4'"),
+    "purchase_fct": ("purchase_pk", "source = 'ga4'"), "funnel": ("funnel_pk", "true"), "js_error_fct": ("js_error_pk", "true"),
+    "user_interaction_fct": ("interaction_pk", "true"), "api_error_fct": ("api_error_pk", "true"),
+}
+add("full_run", " union all ".join([
+    *[f"select '{'conversion_funnel_fct' if f == 'funnel' else f}' as fact, count(*) as row_count, min({k}) as first_key, "
+      f"max({k}) as last_key from {f} where {c}" for f, (k, c) in _RUN.items()],
+    "select 'user_dim', count(distinct user_fk), min(user_fk), max(user_fk) from session_fct where source = 'ga4'",
+]), *_RUN)
 add("late_rows_with_lookback", """
   select cast(ts as date) as event_date, event_type, count(*) as events from events group by 1, 2""")
 add("merge_by_key", """

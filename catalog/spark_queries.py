@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from catalog.rounding import ROUNDED
+from catalog.rounding import ROUNDED, places
 from shoptrail import schemas
 from shoptrail.config import Options, Sources
 from shoptrail.functions.keys import surrogate_key
@@ -26,7 +26,7 @@ from shoptrail.operators.flow import page_flow
 from shoptrail.operators.funnel import conversion_funnel
 from shoptrail.operators.items import normalise_items, one_row_per_item
 from shoptrail.plans import analyses, checks, facts, integration, marts, staging
-from shoptrail.plans.run import Run, load_pageviews
+from shoptrail.plans.run import Feeds, Run, load_pageviews, published, run_all
 from shoptrail.session import use_utc, work_path
 from shoptrail.sources import readers, samples, tables
 from shoptrail.streaming import load as stream
@@ -34,21 +34,15 @@ from shoptrail.streaming import load as stream
 AS_OF = dt.date(2024, 2, 15)
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
-# Data folder -> folder with its feeds already written (see store_feeds).
-STORED: dict[str, str] = {}
+# What was written for a (session, data folder, name): the path.
+STORED: dict[tuple[str, str, str], str] = {}
 
 
-def store_feeds(spark: SparkSession, folder: str) -> None:
-    """Write a folder's feeds and facts once, as a run would publish them.
-
-    Queries over that folder then read the feeds, and the analyses the facts,
-    instead of deriving them again.
-    """
-    root = work_path(use_utc(spark), "feeds")
-    samples.write_feeds(spark, folder, root)
-    STORED[folder] = root
+def publish_facts(spark: SparkSession, folder: str) -> None:
+    """Write a folder's facts, so that its analyses read tables, as after a run."""
+    feed = Feed(spark, folder)
     for name in FACTS:
-        Feed(spark, folder).fact(name).write.parquet(f"{root}/facts/{name}")
+        feed.stored(f"fact {name}", lambda path, name=name: feed.fact(name).write.parquet(path))
 
 
 class Feed:
@@ -61,26 +55,44 @@ class Feed:
     def table(self, name: str) -> DataFrame:
         return samples.table(self.spark, self.folder, name)
 
+    def stored(self, name: str, write: Callable[[str], None]) -> str:
+        """The path ``write`` wrote to, once per session and data folder.
+
+        The feeds are written like this before any job reads them: the jobs
+        then scan nested Parquet tables, as they do in use, and Spark does not
+        mix the sample's expressions into theirs.
+        """
+        key = (self.spark.sparkContext.applicationId, self.folder, name)
+        if key not in STORED:
+            path = work_path(self.spark, "feed")
+            write(path)
+            STORED[key] = path
+        return STORED[key]
+
     @property
-    def stored(self) -> str | None:
-        return STORED.get(self.folder)
+    def spread(self) -> str:
+        return self.stored("tables", lambda path: samples.spread_tables(self.spark, self.folder, path))
 
     def cs(self, name: str) -> DataFrame:
-        if self.stored:
-            return readers.read_contentsquare(self.spark, f"{self.stored}/contentsquare", name)
-        return samples.contentsquare(self.spark, self.folder, name)
+        def write(path: str) -> None:
+            samples.contentsquare(self.spark, self.spread, name).write.parquet(f"{path}/{name}")
+
+        return readers.read_contentsquare(self.spark, self.stored(f"contentsquare {name}", write), name)
 
     @cached_property
     def raw_ga4(self) -> DataFrame:
-        if self.stored:
-            return readers.read_ga4(self.spark, f"{self.stored}/ga4")
-        return samples.ga4_events(self.spark, self.folder)
+        def write(path: str) -> None:
+            events = samples.ga4_events(self.spark, self.spread)
+            events.hint("rebalance", "event_date").write.partitionBy("event_date").parquet(path)
+
+        return readers.read_ga4(self.spark, self.stored("ga4", write))
 
     @cached_property
     def raw_snowplow(self) -> DataFrame:
-        if self.stored:
-            return readers.read_snowplow(self.spark, f"{self.stored}/snowplow")
-        return samples.snowplow_events(self.spark, self.folder)
+        def write(path: str) -> None:
+            samples.snowplow_events(self.spark, self.spread).write.parquet(path)
+
+        return readers.read_snowplow(self.spark, self.stored("snowplow", write))
 
     @cached_property
     def ga4(self) -> DataFrame:
@@ -121,11 +133,8 @@ class Feed:
 
     def published(self, name: str) -> DataFrame:
         """A fact as analyses see it: its table if there is one."""
-        if self.stored:
-            table = tables.read_table(self.spark, f"{self.stored}/facts/{name}")
-            if table is not None:
-                return table
-        return self.fact(name)
+        path = STORED.get((self.spark.sparkContext.applicationId, self.folder, f"fact {name}"))
+        return self.fact(name) if path is None else self.spark.read.parquet(path)
 
     def fact(self, name: str) -> DataFrame:
         makers: dict[str, Callable[[], DataFrame]] = {
@@ -150,7 +159,7 @@ class Feed:
         return makers[name]()
 
 
-def comparable(df: DataFrame, rounded: tuple[str, ...]) -> DataFrame:
+def comparable(df: DataFrame, name: str) -> DataFrame:
     """Timestamps without zone; sums of fractions rounded, as their order varies."""
     columns = []
     for field in df.schema.fields:
@@ -159,8 +168,8 @@ def comparable(df: DataFrame, rounded: tuple[str, ...]) -> DataFrame:
             column = column.cast("timestamp_ntz")
         elif isinstance(field.dataType, T.IntegerType):
             column = column.cast("bigint")
-        if field.name in rounded:
-            column = F.round(column, 6)
+        if field.name in ROUNDED.get(name, ()):
+            column = F.round(column, places(name, field.name))
         columns.append(column.alias(field.name))
     return df.select(*columns)
 
@@ -168,7 +177,7 @@ def comparable(df: DataFrame, rounded: tuple[str, ...]) -> DataFrame:
 def query(name: str) -> Callable[[Callable[[Feed], DataFrame]], Callable[[Feed], DataFrame]]:
     def register(build: Callable[[Feed], DataFrame]) -> Callable[[Feed], DataFrame]:
         def run(spark: SparkSession, folder: str) -> DataFrame:
-            return comparable(build(Feed(spark, folder)), ROUNDED.get(name, ()))
+            return comparable(build(Feed(spark, folder)), name)
 
         run.__name__ = name
         QUERIES[name] = run
@@ -643,6 +652,23 @@ def _(feed: Feed) -> DataFrame:
     return _load(feed, dt.date(2024, 1, 14)).table("warehouse", "pageview_fct")
 
 
+@query("full_run")
+def _(feed: Feed) -> DataFrame:
+    """All layers from raw feeds to published facts, tested on the way; rows and keys per fact."""
+    names = ("pageviews", "add_to_cart", "js_errors", "api_errors")
+    feeds = Feeds(ga4=feed.raw_ga4, contentsquare={name: feed.cs(name) for name in names})
+    root = work_path(feed.spark, "run")
+    # The sample has events without a session id, which are reported only.
+    models = ("int__pageview", "int__add_to_cart", "int__purchase", "int__product_view", "pageview_fct")
+    run_all(feed.spark, feeds, root, options=feed.options, warn_only=[f"{m}.ga_session_id.not_null" for m in models])
+    counted = [
+        df.agg(F.lit(name).alias("fact"), F.count(F.lit(1)).alias("row_count"), F.min(df.columns[0]).alias("first_key"),
+               F.max(df.columns[0]).alias("last_key"))
+        for name, df in published(feed.spark, root).items()
+    ]
+    return reduce(DataFrame.unionByName, counted)
+
+
 @query("late_rows_with_lookback")
 def _(feed: Feed) -> DataFrame:
     """Part of the last loaded days arrives late; a lookback picks it up."""

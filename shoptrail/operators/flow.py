@@ -17,9 +17,10 @@ from pyspark.sql import functions as F
 
 from shoptrail.session import work_root
 
-# At most this many groups take the spread-out way. Groups beyond it, smaller
-# than all of these, still give right results through the plain window.
-MAX_HOT_GROUPS = 1000
+# At most this many groups take the spread-out way, which bounds what is
+# broadcast. A group beyond it is smaller than each of these, so it holds less
+# than a hundred-thousandth of all views; the plain window gives its rows.
+MAX_HOT_GROUPS = 100_000
 
 
 def page_flow(
@@ -82,15 +83,15 @@ def _in_runs(views: DataFrame, keys: Sequence[str], ts: str, tie: str, place: st
     """The same columns for groups too large for one task.
 
     Range partitioning cuts each group into sorted runs of about equal size;
-    ``_spread`` lets even equal rows fall into different runs. The runs are
-    written to the checkpoint folder, so that their numbers stay as they are
-    when a lost executor's work is done again.
+    ``_spread`` lets even equal rows fall into different runs. Row numbers and
+    runs are each written to the checkpoint folder before they are used, so
+    both stay as they are when a lost executor's work is done again.
     """
     work_root(views.sparkSession)
     parts = int(views.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    numbered = views.withColumn("_spread", F.monotonically_increasing_id()).checkpoint()
     runs = (
-        views.withColumn("_spread", F.monotonically_increasing_id())
-        .repartitionByRange(parts, *keys, ts, tie, "_spread")
+        numbered.repartitionByRange(parts, *keys, ts, tie, "_spread")
         .withColumn("_run", F.spark_partition_id())
         .checkpoint()
     )

@@ -433,15 +433,10 @@ def contentsquare(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return _shape(rows(spark, folder), schemas.CONTENTSQUARE_TABLES[name], values)
 
 
-def write_feeds(spark: SparkSession, folder: str, root: str, files: int = 8) -> None:
-    """Write all feeds below ``root`` in the layout the readers expect.
+def spread_tables(spark: SparkSession, folder: str, target: str, files: int = 8) -> None:
+    """Copy the tables the feeds are made of, each in several files.
 
-    The plain tables may be one file each, so they are spread over tasks first.
+    A table of one small file is read by one task, and so are its feeds.
     """
-    spread = f"{root}/tables"
     for name in ("events", "orders", "lineitem"):
-        table(spark, folder, name).repartition(files).write.parquet(f"{spread}/{name}.parquet")
-    ga4_events(spark, spread).hint("rebalance", "event_date").write.partitionBy("event_date").parquet(f"{root}/ga4")
-    snowplow_events(spark, spread).write.parquet(f"{root}/snowplow")
-    for name in (*schemas.CONTENTSQUARE_TABLES, *schemas.CONTENTSQUARE_SIGNALS):
-        contentsquare(spark, spread, name).write.parquet(f"{root}/contentsquare/{name}")
+        table(spark, folder, name).repartition(files).write.parquet(f"{target}/{name}.parquet")
