@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from catalog.duck_feeds import (
-    AS_OF, CS_SESSION_ROWS, GA4_SESSIONS, GEO, HOST, LABEL, PATH, QUERY, SNOWPLOW_SESSIONS, USER, event_sessions, funnel,
+    AS_OF, CS_SESSION_ROWS, GEO, HOST, LABEL, PATH, QUERY, USER, event_sessions, funnel,
     key, matched, nulls, query,
 )
 from catalog.rounding import ROUNDED, places
@@ -433,7 +433,6 @@ def _declared(model: str, declared: Declared, rows: str) -> list[str]:
     return tests
 
 
-_ITEMS = "select *, user_pseudo_id as user_fk, 0 as items"
 _BOTH = ("(select 'ga4' as source, event_pk, event_date, user_pseudo_id as user_fk, ga_session_id, 0 as items from g "
          "where event_name = '{0}' union all select 'snowplow', event_pk, event_date, user_pseudo_id, ga_session_id, 0 "
          "from s where event_name = '{0}')")
@@ -533,5 +532,3 @@ add("consistent_totals", """
   from (select *, abs(left_total - right_total) as difference from (
     select (select sum(purchase_revenue_per_session) from session_fct) as left_total,
       (select sum(item_revenue_usd) from purchase_fct) as right_total))""", "session_fct", "purchase_fct")
-
-__all__ = ["GA4_SESSIONS", "SNOWPLOW_SESSIONS", "SQL"]

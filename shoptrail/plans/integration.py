@@ -15,7 +15,7 @@ from shoptrail.operators.sessions import sessionise
 DEFAULTS = Options()
 
 # The context columns an event source can fill; the others stay NULL.
-_GA4_CONTEXT = [
+GA4_CONTEXT = [
     "traffic_source_name", "traffic_source_medium", "traffic_source_source",
     *schemas.DEVICE,
     "geo_continent", "geo_sub_continent", "geo_country", "geo_region", "geo_city",
@@ -50,7 +50,7 @@ def ga4_sessions(events: DataFrame, options: Options = DEFAULTS) -> DataFrame:
         events,
         engagement=F.coalesce(engagement, F.lit(0)),
         revenue=F.col("ecommerce.purchase_revenue_in_usd"),
-        context=_GA4_CONTEXT,
+        context=GA4_CONTEXT,
         grain=options.session_grain,
     )
 

@@ -16,7 +16,7 @@ from functools import partial
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoptrail.config import CONTENTSQUARE, GA4, SNOWPLOW, Options
+from shoptrail.config import CONTENTSQUARE, Options
 from shoptrail.operators import quality
 from shoptrail.operators import upsert as up
 from shoptrail.plans import checks, facts, integration, marts, staging
@@ -315,6 +315,3 @@ def _recent(run: Run, df: DataFrame) -> DataFrame:
         mark = marks.get(CONTENTSQUARE)
         marks = {} if mark is None else {None: mark}
     return up.newer_than(df, marks, run.options.lookback_days)
-
-
-__all__ = ["FACTS", "FULL", "GA4", "INCREMENTAL", "SNOWPLOW", "Feeds", "Run", "published", "run_all"]

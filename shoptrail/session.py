@@ -8,6 +8,10 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+# Temporary work folders of local sessions that name none, by application.
+_LOCAL_ROOTS: dict[str, str] = {}
+
+
 def use_utc(spark: SparkSession) -> SparkSession:
     """Dates and hours in every job are UTC."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
@@ -37,14 +41,16 @@ def work_root(spark: SparkSession) -> str:
     A local session without one gets a temporary folder; on a cluster the
     setting is required, since a machine-local folder is lost with its machine.
     """
+    context = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="shoptrail-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
+        root = _LOCAL_ROOTS.get(context.applicationId)
+        if root is None:
+            root = _LOCAL_ROOTS[context.applicationId] = tempfile.mkdtemp(prefix="shoptrail-")
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(root)
     return root
 
 

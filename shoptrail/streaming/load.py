@@ -15,7 +15,7 @@ from shoptrail.functions.params import param_number
 from shoptrail.operators.columns import conform
 from shoptrail.operators.sessions import sessionise
 from shoptrail.operators.upsert import merge_by_key, one_per_key
-from shoptrail.plans.integration import _GA4_CONTEXT
+from shoptrail.plans.integration import GA4_CONTEXT
 from shoptrail.session import work_path
 from shoptrail.sources import tables
 
@@ -46,7 +46,7 @@ def ga4_session_stream(events: DataFrame, delay: str = "2 days") -> DataFrame:
         events.withWatermark("event_ts", delay),
         engagement=F.coalesce(param_number("event_params", "engagement_time_msec"), F.lit(0)),
         revenue=F.col("ecommerce.purchase_revenue_in_usd"),
-        context=_GA4_CONTEXT,
+        context=GA4_CONTEXT,
         day=F.window("event_ts", "1 day").alias("day"),
     )
     return conform(

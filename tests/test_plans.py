@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from types import SimpleNamespace
 
 import pytest
 
@@ -92,3 +93,22 @@ def test_work_folder_is_the_one_the_session_names(spark):
     assert work_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
     assert work_root(spark) == spark.conf.get("spark.checkpoint.dir")
     assert local_session("again").conf.get("spark.sql.session.timeZone") == "UTC"
+
+
+class _Unnamed:
+    """A session that names no checkpoint folder."""
+
+    class conf:
+        get = staticmethod(lambda key, default=None: default)
+
+    def __init__(self, master):
+        self.sparkContext = SimpleNamespace(
+            master=master, applicationId=f"app-{master}", getCheckpointDir=lambda: "set"
+        )
+
+
+def test_a_cluster_must_name_its_shared_folder():
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        work_root(_Unnamed("spark://host:7077"))
+    local = _Unnamed("local[2]")
+    assert work_root(local) == work_root(local)
