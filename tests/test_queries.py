@@ -6,6 +6,8 @@ import pytest
 
 import __spark_entry__ as driver
 from catalog.compare import connect, difference
+from catalog.duck_queries import SQL
+from catalog.spark_queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -16,12 +18,13 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert set(driver.queries()) == set(driver.oracle_sql())
+    assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(driver.queries())
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, duck, name):
-    assert difference(spark, duck, FOLDER, name, driver.queries()[name], driver.oracle_sql()[name]) is None
+    assert difference(spark, duck, FOLDER, name, QUERIES[name], SQL[name]) is None
 
 
 def test_entry(spark):
