@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoptrail.llm import chat, hosts, licenses, mixing, quality
+from shoptrail.llm import chat, decontaminate, hosts, licenses, lines, mixing, quality
 from shoptrail.session import use_utc
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -104,3 +104,14 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_license_scan")
 def _(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan(table(spark, folder, "documents")).drop("spans")
+
+
+@query("op8_benchmark_index")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.summary(decontaminate.matches(table(spark, folder, "documents"), table(spark, folder, "benchmark")))
+
+
+@query("op4_line_templates")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    done = lines.drop_lines(table(spark, folder, "documents").select("doc_id", "text"))
+    return done.select("doc_id", "n_lines", "n_dropped", "n_words_dropped", F.sha2("text", 256).alias("kept_sha256"))
