@@ -129,7 +129,7 @@ def busy_lines(docs: DataFrame, options: Options) -> DataFrame:
     lines = leaves.select("doc_id", F.explode(F.arrays_zip("numbers", "leaves")).alias("line"))
     lines = lines.select("doc_id", F.col("line.numbers").alias("number"), F.col("line.leaves").alias("leaf"))
     kept = lines.join(busy, F.col("leaf") == F.col("busy")).groupBy(F.col("doc_id").alias("of")).agg(F.array_distinct(F.collect_list("number")).alias("numbers"))
-    texts = rows.join(settle(kept, "line-asked"), F.col("doc_id") == F.col("of")).select("doc_id", "text", "numbers")
+    texts = rows.join(settle(kept, "line-asked").hint("shuffle_hash"), F.col("doc_id") == F.col("of")).select("doc_id", "text", "numbers")
     return settle(texts.mapInArrow(_token_rows(options.depth), "doc_id long, number int, leaf long, line long, tokens array<long>"), "line-tokens")
 
 
@@ -195,7 +195,7 @@ def drop_lines(docs: DataFrame, options: Options = Options()) -> DataFrame:
     decided = settle(hits.groupBy(F.col("doc_id").alias("of")).agg(F.array_distinct(F.collect_list("number")).alias("dropped")), "line-decisions")
     extra = ("n_lines", "n_dropped", "n_words_dropped", "dropped")
     base = docs.drop(*extra)
-    rows = base.join(decided, base["doc_id"] == decided["of"], "left").drop("of")
+    rows = base.join(decided.hint("shuffle_hash"), base["doc_id"] == decided["of"], "left").drop("of")
     rows = rows.withColumn("dropped", F.coalesce("dropped", F.array().cast("array<int>")))
     names = [c for c in base.columns if c != "text"]
     schema = base.select(*names, F.col("text").cast("string").alias("text"), *[F.lit(0).cast("long").alias(c) for c in extra[:3]]).schema

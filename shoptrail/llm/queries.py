@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoptrail.llm import chat, decontaminate, hosts, licenses, lines, mixing, quality
+from shoptrail.llm import chat, decontaminate, hosts, licenses, lines, mixing, neardup, quality
 from shoptrail.session import use_utc
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -115,3 +115,8 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 def _(spark: SparkSession, folder: str) -> DataFrame:
     done = lines.drop_lines(table(spark, folder, "documents").select("doc_id", "text"))
     return done.select("doc_id", "n_lines", "n_dropped", "n_words_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query("op7_lsh_forest")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    return neardup.group(table(spark, folder, "documents"), neardup.Options(shingle=4))
