@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoptrail.llm import chat, decontaminate, hosts, licenses, lines, mixing, neardup, quality
+from shoptrail.llm import chat, decontaminate, hosts, licenses, lines, mixing, neardup, quality, substrings
 from shoptrail.session import use_utc
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -120,3 +120,9 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 @query("op7_lsh_forest")
 def _(spark: SparkSession, folder: str) -> DataFrame:
     return neardup.group(table(spark, folder, "documents"), neardup.Options(shingle=4))
+
+
+@query("op1_substring_dedup")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    done = substrings.dedup(table(spark, folder, "documents"), with_text=False)
+    return done.select("doc_id", "n_words", "n_removed", "kept_sha256", "longest")
