@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoptrail.llm import chat, decontaminate, hosts, licenses, lines, mixing, neardup, quality, substrings
+from shoptrail.llm import chat, decontaminate, hosts, licenses, lines, mixing, neardup, quality, substrings, toxicity
 from shoptrail.session import use_utc
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -126,3 +126,8 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 def _(spark: SparkSession, folder: str) -> DataFrame:
     done = substrings.dedup(table(spark, folder, "documents"), with_text=False)
     return done.select("doc_id", "n_words", "n_removed", "kept_sha256", "longest")
+
+
+@query("op6_toxicity_pu")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.judge(table(spark, folder, "documents"), table(spark, folder, "labels"))
