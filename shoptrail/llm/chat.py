@@ -58,7 +58,7 @@ MAPPINGS = (
     Mapping("question_answer", ("question", "answer"), fields=(("user", "question"), ("assistant", "answer"))),
     Mapping("instruction", ("instruction", "output"), fields=(("user", "instruction"), ("assistant", "output"))),
     Mapping("instruction_input", ("instruction", "input", "output"), fields=(("user", "instruction+input"), ("assistant", "output"))),
-    Mapping("turn_rows", ("conv_id", "turn", "role", "text")),
+    Mapping("turn_rows", ("turn", "role", "text")),
 )
 # Names of roles in other layouts.
 ROLES = {"human": "user", "prompter": "user", "gpt": "assistant", "bot": "assistant", "model": "assistant", "chatgpt": "assistant"}

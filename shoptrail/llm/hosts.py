@@ -88,14 +88,15 @@ def _shrunk(children: DataFrame, parents: DataFrame, by: str, options: Reputatio
     labelled = F.col("n") > 0
     sums = children.groupBy(by).agg(
         F.sum(n).alias("all_n"), F.sum(bad).alias("all_bad"), F.sum(n * n).alias("squares"),
-        F.sum(F.when(labelled, bad * bad / n)).alias("rates"), F.count(F.when(labelled, 1)).alias("members"),
+        F.coalesce(F.sum(F.when(labelled, F.try_divide(bad * bad, n))), F.lit(0.0)).alias("rates"), F.count(F.when(labelled, 1)).alias("members"),
     )
-    mean = F.col("all_bad") / F.col("all_n")
+    mean = F.coalesce(F.try_divide("all_bad", "all_n"), F.lit(0.0))
     noise = mean * (1 - mean)
     spread = F.col("rates") - F.col("all_n") * mean * mean - noise * (F.col("members") - 1)
-    scale = noise * (F.col("all_n") - F.col("squares") / F.col("all_n") - (F.col("members") - 1))
-    within = F.when((scale > 0) & (spread > 0), F.least(spread / scale, F.lit(1.0))).otherwise(F.lit(0.0))
-    fitted = F.when(within > 0, 1 / within - 1).otherwise(F.lit(options.strongest))
+    mean_size = F.coalesce(F.try_divide("squares", "all_n"), F.lit(0.0))
+    scale = noise * (F.col("all_n") - mean_size - (F.col("members") - 1))
+    within = F.when((scale > 0) & (spread > 0), F.least(F.try_divide(spread, scale), F.lit(1.0))).otherwise(F.lit(0.0))
+    fitted = F.when(within > 0, F.try_divide(F.lit(1.0), within) - 1).otherwise(F.lit(options.strongest))
     strength = F.greatest(F.lit(options.weakest), F.least(F.lit(options.strongest), fitted))
     # A parent whose children all agree says nothing of their spread.
     strength = F.when((F.col("members") > 1) & (noise > 0), strength).otherwise(F.lit(options.weakest))

@@ -84,7 +84,7 @@ class Signature:
 
 
 def _compiled(text: str) -> re.Pattern[bytes]:
-    body = text.encode("latin-1").replace(b" ", rb"[\s]+")
+    body = text.encode("latin-1").replace(b"[- ]", rb"[-\s]+").replace(b" ?", rb"\s*").replace(b" ", rb"\s+")
     return re.compile(rb"(?<!" + _WORD + rb")(?:" + body + rb")(?!" + _WORD + rb")")
 
 

@@ -91,8 +91,12 @@ URL_RULES = (
 
 @query("op5_url_reputation")
 def _(spark: SparkSession, folder: str) -> DataFrame:
+    """Page n takes the outcome of label n: bad if of low quality or toxic."""
     pages = table(spark, folder, "pages").select("page_id", "url")
-    return hosts.judge(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+    bad = (F.col("quality") == 0) | (F.col("toxic") == 1)
+    labels = table(spark, folder, "labels").groupBy(F.col("doc_id").alias("of")).agg(F.max(bad.cast("int")).alias("bad"))
+    labelled = pages.join(labels, F.col("page_id") == F.col("of"), "left").drop("of")
+    return hosts.judge(labelled, URL_RULES, outcome=F.col("bad")).select("page_id", "host", "path", "rule", "verdict")
 
 
 @query("op9_quality_rules")
