@@ -370,6 +370,13 @@ _FLOW = """
   from events window w as (partition by user_id order by ts, event_id)"""
 add("page_flow", _FLOW)
 add("page_flow_large_groups", _FLOW)
+add("page_flow_null_times", """
+  with e as (select event_id, case when event_id % 3 <> 0 then ts end as ts, event_type,
+    case when event_id % 2 = 0 then -1 else user_id end as user_id from events)
+  select event_id, ts as pageview_ts, user_id, event_type as page_location, lead(ts) over w as next_page_ts,
+    lag(event_type) over w as previous_page_location, row_number() over w as page_number_in_session,
+    count(*) over (partition by user_id) as total_pages_in_session
+  from e window w as (partition by user_id order by ts nulls first, event_id)""")
 add("top_items", """
   select l_partkey, count(*) as line_count, sum(l_quantity) as quantity from lineitem group by 1
   order by line_count desc, quantity desc, l_partkey limit 25""")

@@ -593,16 +593,25 @@ def _(feed: Feed) -> DataFrame:
 
 
 # -------------------------------------------------------------- windows and sorts
-def _moves(feed: Feed, hot_group_rows: int) -> DataFrame:
-    events = feed.table("events").select(
+def _moves(feed: Feed) -> DataFrame:
+    return feed.table("events").select(
         "event_id", F.col("ts").alias("pageview_ts"), "user_id", F.col("event_type").alias("page_location")
     )
-    return page_flow(events, keys=("user_id",), tie="event_id", hot_group_rows=hot_group_rows)
 
 
-query("page_flow")(lambda feed: _moves(feed, 10**9))
-# Every user with 60 events or more takes the way of the very large groups.
-query("page_flow_large_groups")(lambda feed: _moves(feed, 60))
+query("page_flow")(lambda feed: page_flow(_moves(feed), keys=("user_id",), tie="event_id"))
+# The same rows from slices of a second.
+query("page_flow_large_groups")(lambda feed: page_flow(_moves(feed), keys=("user_id",), tie="event_id", slice_seconds=1))
+
+
+@query("page_flow_null_times")
+def _(feed: Feed) -> DataFrame:
+    """Half of all rows in one group, a third of them without a time."""
+    events = _moves(feed).withColumns({
+        "user_id": F.when(F.col("event_id") % 2 == 0, -1).otherwise(F.col("user_id")),
+        "pageview_ts": F.when(F.col("event_id") % 3 != 0, F.col("pageview_ts")),
+    })
+    return page_flow(events, keys=("user_id",), tie="event_id")
 
 
 @query("top_items")
@@ -625,7 +634,7 @@ def _(feed: Feed) -> DataFrame:
 def _load(feed: Feed, cut: dt.date, lookback_days: int = 0) -> Run:
     """Load sessions of ``events`` and ContentSquare views up to ``cut``, then the rest."""
     root = work_path(feed.spark, "load")
-    options = Options(sources=Sources(snowplow=False), lookback_days=lookback_days, hot_group_rows=10**9)
+    options = Options(sources=Sources(snowplow=False), lookback_days=lookback_days)
     cs = staging.stage_cs_pageview(feed.cs("pageviews"))
     # The sample has views without a session id, which are reported only.
     run = Run(feed.spark, root, "incremental", options, ("pageview_fct.ga_session_id.not_null",))

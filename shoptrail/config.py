@@ -34,8 +34,6 @@ class Options:
     lookback_days   how many already loaded days an incremental run replaces
     session_grain   'date' keeps one session row per day, 'session' one in all
     attach_transactions  give ContentSquare sessions their purchases
-    hot_group_rows  a navigation group with at least this many views is spread
-                    over many tasks
     drop_copies     keep one row of an event that was delivered several times
     """
 
@@ -45,6 +43,5 @@ class Options:
     lookback_days: int = 0
     session_grain: str = "date"
     attach_transactions: bool = False
-    hot_group_rows: int = 2_000_000
     drop_copies: bool = True
     sources: Sources = field(default_factory=Sources)

@@ -2,25 +2,22 @@
 
 A window function sorts one whole group in one task. Session groups are small,
 but not all of them: views without a session id form one group per user, and a
-crawler can own a large part of all views. Such groups are found by a count
-that is combined before its shuffle, cut into sorted runs over many tasks, and
-the runs' ends are stitched together. The result is the same for every row.
+crawler can own a large part of all views. So every group is cut by the hour of
+its views, whatever its size: a window numbers the views of one hour, and the
+hours of a group, one small row each, are stitched together. What one task must
+hold together is a group's views of an hour, not its history.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shoptrail.session import work_root
-
-# At most this many groups take the spread-out way, which bounds what is
-# broadcast. A group beyond it is smaller than each of these, so it holds less
-# than a hundred-thousandth of all views; the plain window gives its rows.
-MAX_HOT_GROUPS = 100_000
+# The slice of views without a time, before all others, as in an ascending sort.
+_NO_TIME = -(1 << 62)
+_ADDED = ("next_page_ts", "previous_page_location", "page_number_in_session", "total_pages_in_session")
 
 
 def page_flow(
@@ -29,103 +26,47 @@ def page_flow(
     ts: str = "pageview_ts",
     tie: str = "pageview_pk",
     place: str = "page_location",
-    hot_group_rows: int = 2_000_000,
+    slice_seconds: int = 3600,
 ) -> DataFrame:
     """Add next_page_ts, previous_page_location, page_number_in_session and
     total_pages_in_session, in the order of (``ts``, ``tie``) within ``keys``.
 
-    NULL keys count as equal, as in any window.
-    """
-    hot = hot_groups(views, keys, hot_group_rows)
-    if hot is None:
-        return _plain(views, keys, ts, tie, place)
-    small = views.join(F.broadcast(hot), _same(views, hot, keys), "left_anti")
-    large = views.join(F.broadcast(hot), _same(views, hot, keys), "left_semi")
-    return _plain(small, keys, ts, tie, place).unionByName(_in_runs(large, keys, ts, tie, place))
-
-
-def hot_groups(rows: DataFrame, keys: Sequence[str], at_least: int) -> DataFrame | None:
-    """The largest groups of ``at_least`` rows or more, None without any.
-
-    Reads the key columns only. The list has MAX_HOT_GROUPS rows at most, so
-    it can be held on the driver and broadcast whatever the data's size.
+    NULL keys count as equal, as in any window; views without a time come first.
     """
-    large = (
-        rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-        .filter(F.col("_rows") >= at_least)
-        .orderBy(F.desc("_rows"))
-        .limit(MAX_HOT_GROUPS)
-        .select(*keys)
-    )
-    found = large.collect()
-    if not found:
-        return None
-    return rows.sparkSession.createDataFrame(found, large.schema)
-
-
-def _same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
-
-
-def _plain(views: DataFrame, keys: Sequence[str], ts: str, tie: str, place: str) -> DataFrame:
-    """One exchange and one sort serve all four columns."""
-    group = Window.partitionBy(*keys)
-    ordered = group.orderBy(ts, tie)
-    return views.withColumns({
-        "next_page_ts": F.lead(ts).over(ordered),
-        "previous_page_location": F.lag(place).over(ordered),
-        "page_number_in_session": F.row_number().over(ordered).cast("bigint"),
-        "total_pages_in_session": F.count(F.lit(1)).over(group),
+    # A struct of the keys is never NULL itself, and equal structs may hold NULLs: a plain
+    # equality joins them, on the partitioning that the window has already.
+    sliced = views.withColumns({
+        "_group": F.struct(*keys),
+        "_slice": F.coalesce(F.floor(F.unix_micros(F.col(ts).cast("timestamp")) / (slice_seconds * 1_000_000)).cast("long"), F.lit(_NO_TIME)),
     })
-
-
-def _in_runs(views: DataFrame, keys: Sequence[str], ts: str, tie: str, place: str) -> DataFrame:
-    """The same columns for groups too large for one task.
-
-    Range partitioning cuts each group into sorted runs of about equal size;
-    ``_spread`` lets even equal rows fall into different runs. Row numbers and
-    runs are each written to the checkpoint folder before they are used, so
-    both stay as they are when a lost executor's work is done again.
-    """
-    work_root(views.sparkSession)
-    parts = int(views.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    numbered = views.withColumn("_spread", F.monotonically_increasing_id()).checkpoint()
-    runs = (
-        numbered.repartitionByRange(parts, *keys, ts, tie, "_spread")
-        .withColumn("_run", F.spark_partition_id())
-        .checkpoint()
-    )
-    here = Window.partitionBy(*keys, "_run")
-    ordered = here.orderBy(ts, tie, "_spread")
-    local = runs.withColumns({
+    here = Window.partitionBy("_group", "_slice")
+    ordered = here.orderBy(ts, tie)
+    local = sliced.withColumns({
         "_next": F.lead(ts).over(ordered),
         "_previous": F.lag(place).over(ordered),
         "_number": F.row_number().over(ordered),
         "_count": F.count(F.lit(1)).over(here),
     })
-    # One row per run and group: as many as partitions plus hot groups.
-    across = Window.partitionBy(*keys).orderBy("_run")
-    ends = (
-        runs.groupBy(*keys, "_run")
-        .agg(
-            F.count(F.lit(1)).alias("_size"),
-            F.min(ts).alias("_first_ts"),
-            F.max_by(place, F.struct(ts, tie, "_spread")).alias("_last_place"),
-        )
-        .select(
-            *keys,
-            "_run",
-            F.coalesce(F.sum("_size").over(across.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"),
-            F.sum("_size").over(Window.partitionBy(*keys)).alias("_total"),
-            F.lead("_first_ts").over(across).alias("_run_next"),
-            F.lag("_last_place").over(across).alias("_run_previous"),
-        )
+    first, last = F.col("_number") == 1, F.col("_number") == F.col("_count")
+    ends = local.groupBy("_group", "_slice").agg(
+        F.count(F.lit(1)).alias("_size"),
+        F.max(F.when(first, F.col(ts))).alias("_first_ts"),
+        F.max(F.when(last, F.col(place))).alias("_last_place"),
+    )
+    across = Window.partitionBy("_group").orderBy("_slice")
+    stitched = ends.select(
+        F.col("_group").alias("_g"),
+        F.col("_slice").alias("_s"),
+        F.coalesce(F.sum("_size").over(across.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"),
+        F.sum("_size").over(Window.partitionBy("_group")).alias("_total"),
+        F.lead("_first_ts").over(across).alias("_slice_next"),
+        F.lag("_last_place").over(across).alias("_slice_previous"),
     )
-    joined = local.join(F.broadcast(ends), _same(local, ends, [*keys, "_run"]), "inner")
-    return joined.select(
-        *[local[c] for c in views.columns],
-        F.when(F.col("_number") == F.col("_count"), F.col("_run_next")).otherwise(F.col("_next")).alias("next_page_ts"),
-        F.when(F.col("_number") == 1, F.col("_run_previous")).otherwise(F.col("_previous")).alias("previous_page_location"),
-        (F.col("_before") + F.col("_number")).cast("bigint").alias("page_number_in_session"),
-        F.col("_total").cast("bigint").alias("total_pages_in_session"),
+    joined = local.join(stitched, (F.col("_group") == F.col("_g")) & (F.col("_slice") == F.col("_s")))
+    values = (
+        F.when(last, F.col("_slice_next")).otherwise(F.col("_next")),
+        F.when(first, F.col("_slice_previous")).otherwise(F.col("_previous")),
+        (F.col("_before") + F.col("_number")).cast("bigint"),
+        F.col("_total").cast("bigint"),
     )
+    return joined.select(*[c for c in views.columns if c not in _ADDED], *[v.alias(n) for v, n in zip(values, _ADDED, strict=True)])

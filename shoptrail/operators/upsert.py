@@ -51,6 +51,8 @@ def newer_than(rows: DataFrame, marks: dict[str | None, dt.date], lookback_days:
         fresh = fresh | (F.col("source").eqNullSafe(F.lit(source)) & (F.col(DAY) >= F.lit(day)))
     known = [s for s in first if s is not None]
     unseen = ~F.col("source").isin(known) if known else F.lit(True)
+    # A row without source is compared with the mark of such rows, if there is one.
+    unseen = F.coalesce(unseen, F.lit(True)) & (F.col("source").isNotNull() | F.lit(None not in first))
     return rows.filter(fresh | unseen)
 
 
@@ -78,7 +80,7 @@ class Merge:
     """The new content of the days an upsert touches."""
 
     rows: DataFrame
-    days: tuple[dt.date, ...]
+    days: tuple[dt.date | None, ...]
 
 
 def _days(frame: DataFrame) -> set[dt.date]:
@@ -107,12 +109,16 @@ def merge_by_key(
         days |= _days(held.join(wanted, same_keys(held, wanted, keys), "left_semi"))
     if drop_before is not None:
         days |= _days(target.filter(drop_before))
-    touched = target.filter(F.col(DAY).isin(sorted(days)))
+    known = sorted(day for day in days if day is not None)
+    on_day = F.col(DAY).isin(known)
+    if None in days:  # rows without a day are a day of their own
+        on_day = on_day | F.col(DAY).isNull()
+    touched = target.filter(on_day)
     if drop_before is not None:
         touched = touched.filter(~F.coalesce(drop_before, F.lit(False)))
     replaced = new.select(*keys)
     kept = touched.join(replaced, same_keys(touched, replaced, keys), "left_anti")
-    return Merge(kept.unionByName(new.select(*target.columns)), tuple(sorted(days)))
+    return Merge(kept.unionByName(new.select(*target.columns)), (*known, *([None] if None in days else [])))
 
 
 def rows_of_groups(target: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -66,8 +66,9 @@ def friction_by_score(sessions: DataFrame, js_errors: DataFrame, rage_clicks: Da
     """ANA-4: distinct script errors and rage clicks per frustration score.
 
     Joining both event tables to sessions directly pairs every error of a
-    session with every click of it. Here each table meets the (score, session)
-    pairs on its own, and the two counts are put together per score.
+    session with every click of it. An event belongs to one session id, so each
+    table is first counted per session id; one row per session meets the
+    (score, session) pairs, and the counts are added up per score.
     """
     scored = (
         sessions.filter(F.col("source") == CONTENTSQUARE)
@@ -76,19 +77,14 @@ def friction_by_score(sessions: DataFrame, js_errors: DataFrame, rage_clicks: Da
     )
 
     def counted(events: DataFrame, key: str, name: str) -> DataFrame:
-        hits = scored.join(events.select("ga_session_id", key), "ga_session_id")
-        distinct = hits.groupBy("frustration_score", key).agg(F.lit(1).alias("one"))
-        return distinct.groupBy("frustration_score").agg(F.count(key).alias(name))
-
-    parts = [
-        scored.select("frustration_score"),
-        counted(js_errors, "js_error_pk", "js_errors"),
-        counted(rage_clicks, "rage_click_pk", "rage_clicks"),
-    ]
-    together = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+        once = events.filter(F.col(key).isNotNull()).select("ga_session_id", key).distinct()
+        return once.groupBy("ga_session_id").agg(F.count(F.lit(1)).alias(name))
+
+    joined = scored.join(counted(js_errors, "js_error_pk", "js_errors"), "ga_session_id", "left")
+    joined = joined.join(counted(rage_clicks, "rage_click_pk", "rage_clicks"), "ga_session_id", "left")
     return (
-        together.groupBy("frustration_score")
-        .agg(*[F.coalesce(F.max(n), F.lit(0)).alias(n) for n in ("js_errors", "rage_clicks")])
+        joined.groupBy("frustration_score")
+        .agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in ("js_errors", "rage_clicks")])
         .orderBy("frustration_score")
     )
 
@@ -172,8 +168,9 @@ def high_value_customers(users: DataFrame, k: int = 100) -> DataFrame:
 def product_performance(
     product_views: DataFrame, carts: DataFrame, purchases: DataFrame, k: int = 20
 ) -> DataFrame:
-    """ANA-9: each table is reduced to one row per item before the joins."""
+    """ANA-9: each table is reduced to one row per item, and the views to the top ones, before the joins."""
     seen = product_views.groupBy("item_id", "item_name").agg(F.count(F.lit(1)).alias("views"))
+    seen = seen.orderBy(F.desc("views"), "item_id", "item_name").limit(k)
     carted = carts.groupBy("item_id").agg(F.count(F.lit(1)).alias("add_to_carts"))
     bought = purchases.groupBy("item_id").agg(
         F.count(F.lit(1)).alias("purchases"), F.sum("item_revenue_usd").alias("revenue")
@@ -183,7 +180,6 @@ def product_performance(
         seen.join(carted, "item_id", "left")
         .join(bought, "item_id", "left")
         .orderBy(F.desc("views"), "item_id", "item_name")
-        .limit(k)
         .select(
             "item_name",
             "views",
@@ -197,11 +193,11 @@ def product_performance(
 
 def volume_by_source(facts: dict[str, DataFrame]) -> DataFrame:
     """ANA-10: rows per fact and source, with a total per fact."""
-    tagged = [df.select(F.lit(name).alias("metric"), "source") for name, df in facts.items()]
+    counted = [df.groupBy("source").agg(F.count(F.lit(1)).alias("rows")).withColumn("metric", F.lit(name)) for name, df in facts.items()]
     return (
-        reduce(DataFrame.unionByName, tagged)
+        reduce(DataFrame.unionByName, counted)
         .rollup("metric", "source")
-        .agg(F.count(F.lit(1)).alias("row_count"), F.grouping("metric").alias("all_facts"), F.grouping("source").alias("total"))
+        .agg(F.sum("rows").alias("row_count"), F.grouping("metric").alias("all_facts"), F.grouping("source").alias("total"))
         .filter(F.col("all_facts") == 0)
         .select("metric", F.when(F.col("total") == 1, "total").otherwise(F.col("source")).alias("source"), "row_count")
         .orderBy("metric", "source")

@@ -54,10 +54,10 @@ def pageview_rows(pageviews: DataFrame, options: Options = DEFAULTS) -> DataFram
     )
 
 
-def with_flow(rows: DataFrame, hot_group_rows: int = DEFAULTS.hot_group_rows) -> DataFrame:
+def with_flow(rows: DataFrame) -> DataFrame:
     """Page view rows with their place in the session, in published order."""
     number, total = F.col("page_number_in_session"), F.col("total_pages_in_session")
-    return page_flow(rows, hot_group_rows=hot_group_rows).select(
+    return page_flow(rows).select(
         "pageview_pk", "source", "user_fk", "event_date", "ga_session_id", "pageview_ts",
         "page_location", "page_title", "page_referrer", "previous_page_location",
         *schemas.PAGE_URL,
@@ -77,7 +77,7 @@ def with_flow(rows: DataFrame, hot_group_rows: int = DEFAULTS.hot_group_rows) ->
 
 def pageview_fct(pageviews: DataFrame, options: Options = DEFAULTS) -> DataFrame:
     """FCT-2."""
-    return with_flow(pageview_rows(pageviews, options), options.hot_group_rows)
+    return with_flow(pageview_rows(pageviews, options))
 
 
 # ------------------------------------------------------------------ item facts

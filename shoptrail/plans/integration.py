@@ -91,7 +91,7 @@ def unify_sessions(
     options: Options = DEFAULTS,
 ) -> DataFrame:
     """INT-1: staged events (GA4, Snowplow) and staged sessions (ContentSquare)."""
-    if contentsquare is not None and options.attach_transactions:
+    if contentsquare is not None and cs_transactions is not None and options.attach_transactions:
         contentsquare = with_transactions(contentsquare, cs_transactions)
     return _unified(spark, schemas.SESSION, options, {
         GA4: None if ga4 is None else ga4_sessions(ga4, options),

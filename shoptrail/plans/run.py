@@ -226,7 +226,7 @@ def load_pageviews(run: Run, pageviews: DataFrame) -> None:
         rows, path = run.written(rows.unionByName(again), "pageview_rows")
         used.append(path)
     run.publish(
-        "warehouse", "pageview_fct", facts.with_flow(rows, run.options.hot_group_rows), ["pageview_pk"],
+        "warehouse", "pageview_fct", facts.with_flow(rows), ["pageview_pk"],
         replaced=replaced, tests=_tests("pageview_fct"),
     )
     tables.remove(run.spark, used)
@@ -238,6 +238,8 @@ def load_facts(run: Run, staged: dict[str, DataFrame], unified: dict[str, DataFr
         session_key = ["source", "user_fk", "ga_session_id"]
     _load(run, "session_fct", unified["int__session"], facts.session_fct, session_key)
     sessions = run.table("warehouse", "session_fct")
+    if sessions is None:  # a run without sessions, for example of friction events alone
+        sessions = facts.session_fct(unified["int__session"].limit(0))
     load_pageviews(run, unified["int__pageview"])
     _load(run, "product_view_fct", unified["int__product_view"], facts.product_view_fct, ["product_view_pk"])
     _load(run, "add_to_cart_fct", unified["int__add_to_cart"], facts.add_to_cart_fct, ["add_to_cart_pk"])

@@ -40,7 +40,8 @@ def _laid_out(df: DataFrame, cluster: Sequence[str]) -> DataFrame:
 
 def write_days(df: DataFrame, path: str, cluster: Sequence[str] = ()) -> None:
     """Write the whole table anew, one folder per day (SNK-2, SNK-3)."""
-    _laid_out(df, cluster).write.mode("overwrite").partitionBy(DAY).parquet(path)
+    # Static, whatever the session's setting: days that are gone must go.
+    _laid_out(df, cluster).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(DAY).parquet(path)
 
 
 def replace_days(df: DataFrame, path: str, cluster: Sequence[str] = ()) -> None:
@@ -67,4 +68,4 @@ def remove(spark: SparkSession, paths: Iterable[str]) -> None:
 
 
 def remove_days(spark: SparkSession, path: str, days: Iterable) -> None:
-    remove(spark, [f"{path}/{DAY}={day.isoformat()}" for day in days])
+    remove(spark, [f"{path}/{DAY}={'__HIVE_DEFAULT_PARTITION__' if day is None else day.isoformat()}" for day in days])

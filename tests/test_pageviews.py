@@ -4,6 +4,8 @@ import datetime as dt
 import random
 
 import pytest
+from pyspark.sql import Window
+from pyspark.sql import functions as F
 
 from shoptrail.operators import flow
 from shoptrail.plans import facts, integration, staging
@@ -77,34 +79,32 @@ def some_views(seed, copies=0):
     return rows + [rows[0]] * copies
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-@pytest.mark.parametrize("hot_group_rows", [1, 100])
-def test_large_groups_give_the_same_rows(spark, seed, hot_group_rows):
-    rows = views(spark, some_views(seed))
-    plain = flow.page_flow(rows, hot_group_rows=10**9)
-    same_rows(flow.page_flow(rows, hot_group_rows=hot_group_rows), plain)
+def one_window(rows):
+    """The same columns from one window per group."""
+    group = Window.partitionBy("source", "user_fk", "ga_session_id")
+    ordered = group.orderBy("pageview_ts", "pageview_pk")
+    return rows.withColumns({
+        "next_page_ts": F.lead("pageview_ts").over(ordered),
+        "previous_page_location": F.lag("page_location").over(ordered),
+        "page_number_in_session": F.row_number().over(ordered).cast("bigint"),
+        "total_pages_in_session": F.count(F.lit(1)).over(group),
+    })
 
 
-def test_a_large_group_is_cut_into_runs_even_if_its_rows_are_equal(spark):
-    rows = views(spark, some_views(3, copies=1500))
-    plain = flow.page_flow(rows, hot_group_rows=10**9)
-    spread = flow.page_flow(rows, hot_group_rows=100)
-    assert spread.count() == plain.count()
-    same_rows(spread, plain)
+@pytest.mark.parametrize("seed", [1, 2])
+@pytest.mark.parametrize("slice_seconds", [1, 7, 3600])
+def test_slices_give_the_rows_of_one_window(spark, seed, slice_seconds):
+    rows = views(spark, some_views(seed))
+    same_rows(flow.page_flow(rows, slice_seconds=slice_seconds), one_window(rows))
 
 
-def test_hot_groups_are_listed_up_to_a_bound(spark, monkeypatch):
-    rows = views(spark, some_views(4))
-    keys = ["source", "user_fk", "ga_session_id"]
-    assert flow.hot_groups(rows, keys, 10**6) is None
-    assert [r.user_fk for r in flow.hot_groups(rows, keys, 150).collect()] == ["hot"]
-    monkeypatch.setattr(flow, "MAX_HOT_GROUPS", 2)
-    assert flow.hot_groups(rows, keys, 1).count() == 2
-    same_rows(flow.page_flow(rows, hot_group_rows=1), flow.page_flow(rows, hot_group_rows=10**9))
+def test_views_without_a_time_come_first(spark):
+    rows = views(spark, [(*r[:3], r[3] if n % 5 else None, *r[4:]) for n, r in enumerate(some_views(3))])
+    same_rows(flow.page_flow(rows, slice_seconds=5), one_window(rows))
 
 
 def test_invariants(spark):
-    rows = flow.page_flow(views(spark, some_views(5)), hot_group_rows=150)
+    rows = flow.page_flow(views(spark, some_views(5)), slice_seconds=3)
     assert rows.filter("page_number_in_session > total_pages_in_session").count() == 0
     groups = rows.groupBy("source", "user_fk", "ga_session_id").agg({"page_number_in_session": "max"}).collect()
     entrances = rows.filter("page_number_in_session = 1").count()
