@@ -31,6 +31,12 @@ add("scan_ga4_days", """
   where event_date between date '2024-01-05' and date '2024-01-20' group by 1, 2""", "g")
 add("scan_snowplow", """
   select event_name, count(*) as events, min(event_ts) as first_ts, max(event_ts) as last_ts from s group by 1""", "s")
+add("scan_snowplow_days", """
+  select event_ts::date as event_date, event_name, count(*) as events from s
+  where event_ts::date between date '2024-01-05' and date '2024-01-20' group by 1, 2""", "s")
+add("scan_contentsquare_days", """
+  select ts::date as event_date, count(*) as views from ev
+  where ts::date between date '2024-01-05' and date '2024-01-20' group by 1""", "ev")
 
 _CS_TIMES = {
     "sessions": ("happened", "od"), "ecommerce_transactions": ("happened", "od"), "pageviews": ("ts", "ev"), "add_to_cart": ("ts", "ev"),

@@ -225,6 +225,21 @@ def _(feed: Feed) -> DataFrame:
     )
 
 
+@query("scan_snowplow_days")
+def _(feed: Feed) -> DataFrame:
+    path = written(feed, "snowplow", feed.raw_snowplow)
+    days = readers.read_snowplow(feed.spark, path, "20240105", "20240120")
+    return days.groupBy(F.to_date("collector_tstamp").alias("event_date"), "event_name").agg(F.count(F.lit(1)).alias("events"))
+
+
+@query("scan_contentsquare_days")
+def _(feed: Feed) -> DataFrame:
+    root = work_path(feed.spark, "contentsquare")
+    feed.cs("pageviews").write.parquet(f"{root}/pageviews")
+    days = readers.read_contentsquare(feed.spark, root, "pageviews", "20240105", "20240120")
+    return days.groupBy(F.to_date("time").alias("event_date")).agg(F.count(F.lit(1)).alias("views"))
+
+
 @query("scan_contentsquare")
 def _(feed: Feed) -> DataFrame:
     names = [*schemas.CONTENTSQUARE_TABLES, *schemas.CONTENTSQUARE_SIGNALS]

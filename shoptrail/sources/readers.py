@@ -22,17 +22,36 @@ def read_ga4(spark: SparkSession, path: str, start: str | None = None, end: str
     return events
 
 
-def read_snowplow(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(schemas.ddl(schemas.SNOWPLOW_EVENTS)).parquet(path)
+def _between(rows: DataFrame, moment: str, start: str | None, end: str | None) -> DataFrame:
+    """Rows of whole days (``YYYYMMDD``, both included) by a timestamp column.
+
+    The bounds are constants compared with the bare column, so Parquet skips the
+    row groups of other days. Rows without a time are in no range.
+    """
+    def midnight(day: str):
+        return F.to_date(F.lit(day), "yyyyMMdd")
+
+    if start is not None:
+        rows = rows.filter(F.col(moment) >= midnight(start).cast("timestamp"))
+    if end is not None:
+        rows = rows.filter(F.col(moment) < F.date_add(midnight(end), 1).cast("timestamp"))
+    return rows
+
+
+def read_snowplow(spark: SparkSession, path: str, start: str | None = None, end: str | None = None) -> DataFrame:
+    """Snowplow events, of a range of collection days if one is given."""
+    events = spark.read.schema(schemas.ddl(schemas.SNOWPLOW_EVENTS)).parquet(path)
+    return _between(events, "collector_tstamp", start, end)
 
 
-def read_contentsquare(spark: SparkSession, path: str, table: str) -> DataFrame:
-    """One ContentSquare table below ``path``.
+def read_contentsquare(spark: SparkSession, path: str, table: str, start: str | None = None, end: str | None = None) -> DataFrame:
+    """One ContentSquare table below ``path``, of a range of days if one is given.
 
     Tables of which no columns are published are read with the columns their
     files have.
     """
     if table in schemas.CONTENTSQUARE_SIGNALS:
-        return spark.read.parquet(f"{path}/{table}")
-    schema = schemas.ddl(schemas.CONTENTSQUARE_TABLES[table])
-    return spark.read.schema(schema).parquet(f"{path}/{table}")
+        rows = spark.read.parquet(f"{path}/{table}")
+    else:
+        rows = spark.read.schema(schemas.ddl(schemas.CONTENTSQUARE_TABLES[table])).parquet(f"{path}/{table}")
+    return _between(rows, "time", start, end)

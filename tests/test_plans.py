@@ -57,6 +57,20 @@ def test_raw_days_are_pruned_through_staging(spark):
     assert "event_date" in filters
 
 
+def test_days_of_the_other_feeds_reach_their_scans(spark):
+    path = work_path(spark, "raw")
+    feed = Feed(spark, FOLDER)
+    feed.raw_snowplow.write.parquet(f"{path}/snowplow")
+    feed.cs("pageviews").write.parquet(f"{path}/pageviews")
+    for rows, moment in (
+        (readers.read_snowplow(spark, f"{path}/snowplow", "20240105", "20240120"), "collector_tstamp"),
+        (readers.read_contentsquare(spark, path, "pageviews", "20240105", "20240120"), "time"),
+    ):
+        # The plan's text cuts long lists.
+        pushed = re.search(r"PushedFilters: \[(.*)", plan(rows)).group(1)
+        assert f"IsNotNull({moment}), Gre" in pushed
+
+
 def test_navigation_moves_the_views_once(spark, staged_path):
     """The views move by (group, slice) and are joined there; apart from them only times and places
     move to make one row per slice, and these rows to be stitched per group."""
