@@ -12,7 +12,10 @@ as last key, so a group of any size is spread over tasks; what lies at a cut is
 compared once more, together.
 
 Candidates whose sizes allow the similarity are confirmed on full sets, and
-links are closed to components by alternating star contractions.
+links are closed to components by alternating star contractions. A region that
+was too large at the least depth may hide links between rows that stayed in
+different components: each row of a smaller component is then compared, on full
+sets and in blocks, with all rows of the largest components in its regions.
 
 Defined cases: a text of fewer words than a shingle has its whole sequence as
 one shingle; a null text or one without words has an empty set and is linked
@@ -28,7 +31,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shoptrail.llm import words as W
@@ -37,7 +40,8 @@ from shoptrail.llm.tables import importable, settle, tasks, text_rows
 
 @dataclass(frozen=True)
 class Options:
-    """words in a shingle, similarity in percent; trees, least and full depth, rows of a small region, neighbours in a chain."""
+    """words in a shingle, similarity in percent; trees, least and full depth, rows of a small region,
+    neighbours in a chain; components of a large region that are searched whole, and shingles in a block of that search."""
 
     shingle: int = 5
     percent: int = 80
@@ -46,6 +50,8 @@ class Options:
     full: int = 16
     region: int = 8
     chain: int = 2
+    largest: int = 8
+    block: int = 200_000
 
     @property
     def functions(self) -> int:
@@ -150,11 +156,20 @@ def _neighbours(tree: np.ndarray, paths: np.ndarray, ids: np.ndarray, sizes: np.
     return np.concatenate(a), np.concatenate(b)
 
 
-PAIRS = "a long, b long, tree int, path binary, doc_id long, n_shingles long"
+def _wide(tree: np.ndarray, paths: np.ndarray, options: Options) -> np.ndarray:
+    """The sorted rows whose region at the least depth is too large, or may go on in another partition."""
+    key = paths[:, :options.least]
+    number = np.concatenate([[0], np.cumsum((key[1:] != key[:-1]).any(axis=1) | (tree[1:] != tree[:-1]))])
+    return np.flatnonzero((np.bincount(number)[number] > options.region) | (number == 0) | (number == number[-1]))
+
+
+PAIRS = "a long, b long, tree int, path binary, doc_id long, n_shingles long, wide boolean"
 
 
 def _pair_rows(options: Options, ends: bool):
-    """Candidate pairs of a sorted partition, and with ``ends`` its first and last rows, which may belong to a cut region."""
+    """Candidate pairs of a sorted partition, and with ``ends`` its first and last rows, which may belong to a cut region, and the rows of wide regions."""
+    names = [c.split()[0] for c in PAIRS.split(", ")]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = [b for b in batches if b.num_rows]
         if not parts:
@@ -167,29 +182,34 @@ def _pair_rows(options: Options, ends: bool):
         empty = len(pairs)
         yield pa.RecordBatch.from_arrays([
             pa.array(pairs[:, 0], pa.int64()), pa.array(pairs[:, 1], pa.int64()), pa.nulls(empty, pa.int32()),
-            pa.nulls(empty, pa.binary()), pa.nulls(empty, pa.int64()), pa.nulls(empty, pa.int64()),
-        ], ["a", "b", "tree", "path", "doc_id", "n_shingles"])
+            pa.nulls(empty, pa.binary()), pa.nulls(empty, pa.int64()), pa.nulls(empty, pa.int64()), pa.nulls(empty, pa.bool_()),
+        ], names)
         if ends:
             k = options.region
             at = np.unique(np.concatenate([np.arange(min(k, rows.num_rows)), np.arange(max(0, rows.num_rows - k), rows.num_rows)]))
             edge = rows.take(pa.array(at)).combine_chunks().to_batches()[0]
             none = pa.nulls(len(at), pa.int64())
-            yield pa.RecordBatch.from_arrays([none, none, *[edge[c] for c in ("tree", "path", "doc_id", "n_shingles")]], ["a", "b", "tree", "path", "doc_id", "n_shingles"])
+            yield pa.RecordBatch.from_arrays([none, none, *[edge[c] for c in names[2:6]], pa.array(np.zeros(len(at), bool))], names)
+            at = _wide(tree, paths, options)
+            keys = pa.array([row.tobytes() for row in paths[at, :options.least]], pa.binary())
+            none = pa.nulls(len(at), pa.int64())
+            columns = [pa.array(tree[at], pa.int32()), keys, pa.array(ids[at], pa.int64()), pa.array(sizes[at], pa.int64()), pa.array(np.ones(len(at), bool))]
+            yield pa.RecordBatch.from_arrays([none, none, *columns], names)
 
     return run
 
 
-def candidates(sketches: DataFrame, options: Options) -> DataFrame:
-    """Distinct pairs a < b of neighbours in any tree."""
+def candidates(sketches: DataFrame, options: Options) -> tuple[DataFrame, DataFrame]:
+    """Distinct pairs a < b of neighbours in any tree; (tree, path, doc_id, n_shingles) of the rows in wide regions."""
     order = ["tree", "path", "doc_id"]
     rows = importable(sketches).mapInArrow(_tree_rows(options), "tree int, path binary, doc_id long, n_shingles long")
     dealt = rows.repartitionByRange(tasks(rows), *order).sortWithinPartitions(*order)
     found = settle(dealt.mapInArrow(_pair_rows(options, True), PAIRS), "near-neighbours")
     # A few rows of each task: the neighbours on both sides of every cut.
-    cut = found.filter(F.col("a").isNull()).select(*order, "n_shingles").repartitionByRange(1, *order).sortWithinPartitions(*order)
+    cut = found.filter("not wide").select(*order, "n_shingles").repartitionByRange(1, *order).sortWithinPartitions(*order)
     across = importable(cut).mapInArrow(_pair_rows(options, False), PAIRS)
     pairs = found.filter(F.col("a").isNotNull()).select("a", "b").unionByName(across.select("a", "b"))
-    return settle(pairs.distinct(), "near-candidates")
+    return settle(pairs.distinct(), "near-candidates"), found.filter("wide").select(*order, "n_shingles")
 
 
 def _set_rows(size: int):
@@ -215,12 +235,16 @@ def _confirm(percent: int):
     return run
 
 
+def sets_of(docs: DataFrame, ids: DataFrame, options: Options) -> DataFrame:
+    """(doc_id, members): the full sets of the documents in the column ``asked``."""
+    texts = text_rows(docs).join(ids.distinct().hint("shuffle_hash"), F.col("doc_id") == F.col("asked")).select("doc_id", "text")
+    sets = texts.mapInArrow(_set_rows(options.shingle), "doc_id long, members binary").dropDuplicates(["doc_id"])
+    return settle(sets, "near-sets")
+
+
 def confirmed(docs: DataFrame, pairs: DataFrame, options: Options) -> DataFrame:
     """The pairs whose full sets are similar enough. A document is in few pairs, so no key is heavy."""
-    asked = pairs.select(F.explode(F.array("a", "b")).alias("asked")).distinct()
-    texts = text_rows(docs).join(asked.hint("shuffle_hash"), F.col("doc_id") == F.col("asked")).select("doc_id", "text")
-    sets = texts.mapInArrow(_set_rows(options.shingle), "doc_id long, members binary").dropDuplicates(["doc_id"])
-    sets = settle(sets, "near-sets")
+    sets = sets_of(docs, pairs.select(F.explode(F.array("a", "b")).alias("asked")), options)
     left = pairs.hint("shuffle_hash").join(sets.select(F.col("doc_id").alias("a"), F.col("members").alias("one")), "a")
     both = left.join(sets.hint("shuffle_hash").select(F.col("doc_id").alias("b"), F.col("members").alias("two")), "b")
     return settle(importable(both).select("a", "b", "one", "two").mapInArrow(_confirm(options.percent), "a long, b long"), "near-links")
@@ -253,16 +277,84 @@ def components(links: DataFrame) -> DataFrame:
         before = state
 
 
+def _meet(percent: int):
+    """Which askers are similar enough to any document of a block: (component, large)."""
+    def run(block: pa.Table, askers: pa.Table) -> pa.Table:
+        sets = [np.frombuffer(v.as_buffer(), np.uint64) for v in block["members"].combine_chunks()]
+        sizes = np.array([len(s) for s in sets], np.int64)
+        keys = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
+        order = np.argsort(keys, kind="stable")
+        keys, owner = keys[order], np.repeat(np.arange(len(sets)), sizes)[order]
+        good = np.zeros(askers.num_rows, bool)
+        for k, value in enumerate(askers["members"].combine_chunks() if len(sets) else ()):
+            asked = np.frombuffer(value.as_buffer(), np.uint64)
+            low, high = np.searchsorted(keys, asked, "left"), np.searchsorted(keys, asked, "right")
+            many = high - low
+            at = np.repeat(low - np.cumsum(many) + many, many) + np.arange(many.sum())
+            both = np.bincount(owner[at], minlength=len(sets))
+            good[k] = (100 * both >= percent * (sizes + len(asked) - both)).any()
+        return askers.select(["component", "large"]).filter(pa.array(good))
+
+    return run
+
+
+def across_components(docs: DataFrame, wide: DataFrame, found: DataFrame, options: Options) -> DataFrame:
+    """Links (a, b) between components that meet in a wide region.
+
+    A region's components are ranked by their documents. Each document asks the
+    region's largest components above its own; it is compared with all their
+    documents in wide regions, as any other link was compared before. Both
+    sides are cut into blocks of a bounded number of shingles.
+    """
+    named = wide.join(found.hint("shuffle_hash"), F.col("doc_id") == F.col("node"), "left")
+    named = settle(named.select("tree", "path", "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component")), "near-wide")
+    members = settle(named.select("doc_id", "n_shingles", "component").distinct(), "near-members")
+    totals = members.groupBy("component").agg(
+        F.count("*").alias("docs"), F.sum("n_shingles").alias("total"), F.min("n_shingles").alias("low"), F.max("n_shingles").alias("high")
+    )
+    totals = settle(totals, "near-totals")
+    held = named.select("tree", "path", "component").distinct().join(totals, "component")
+    rank = F.row_number().over(Window.partitionBy("tree", "path").orderBy(F.desc("docs"), "component"))
+    top = held.withColumn("rank", rank).filter(F.col("rank") <= options.largest)
+    top = settle(top.select("tree", "path", F.col("component").alias("large"), F.col("docs").alias("large_docs"), "low", "high"), "near-largest")
+    size = F.col("n_shingles")
+    above = (F.col("large_docs") > F.col("docs")) | ((F.col("large_docs") == F.col("docs")) & (F.col("large") < F.col("component")))
+    fits = (100 * size >= options.percent * F.col("low")) & (100 * F.col("high") >= options.percent * size)
+    asks = named.join(totals.select("component", "docs"), "component").join(top, ["tree", "path"]).filter(above & fits)
+    asks = settle(asks.select(F.col("doc_id").alias("asker"), size, "component", "large").distinct(), "near-asks")
+    cuts = asks.groupBy("large").agg(F.ceil(F.sum("n_shingles") / options.block).alias("parts"))
+    cuts = cuts.join(totals.select(F.col("component").alias("large"), F.ceil(F.col("total") / options.block).alias("blocks")), "large")
+    cuts = settle(cuts, "near-cuts")
+    searched = members.join(cuts, F.col("component") == F.col("large")).select(F.col("doc_id").alias("asked"), "large", "parts", "blocks")
+    searched = settle(searched, "near-searched")
+    sets = sets_of(docs, asks.select(F.col("asker").alias("asked")).unionByName(searched.select("asked")), options).withColumnRenamed("doc_id", "asked")
+
+    def place(df: DataFrame, own: str, other: str) -> DataFrame:
+        """The block of a row on its side, and one copy for each block of the other side."""
+        mine, theirs = own.removesuffix("s"), other.removesuffix("s")
+        placed = df.withColumn(mine, F.pmod(F.xxhash64("asked"), F.col(own))).withColumn(theirs, F.explode(F.sequence(F.lit(0).cast("long"), F.col(other) - 1)))
+        return placed.drop("parts", "blocks")
+
+    key = ["large", "block", "part"]
+    asking = asks.withColumnRenamed("asker", "asked").join(cuts, "large").join(sets.hint("shuffle_hash"), "asked")
+    left = place(searched.join(sets.hint("shuffle_hash"), "asked"), "blocks", "parts").select(*[F.col(c).alias(c) for c in (*key, "members")])  # new names, as both sides come from the same tables
+    right = place(asking, "parts", "blocks").select(*key, "component", "members")
+    met = importable(left).groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(_meet(options.percent), "component long, large long")
+    return settle(met.distinct().select(F.col("component").alias("a"), F.col("large").alias("b")), "near-across")
+
+
 def group(docs: DataFrame, options: Options = Options()) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for each document."""
     rows = settle(text_rows(docs).mapInArrow(_sketch(options), "doc_id long, n_shingles long, mark long, mark2 long, sketch binary"), "near-sketches")
     known = rows.filter("n_shingles > 0 and doc_id is not null")
     classes = settle(known.groupBy("mark", "mark2", "n_shingles").agg(F.min("doc_id").alias("first")), "near-classes")
     firsts = known.join(classes.select("first").hint("shuffle_hash"), F.col("doc_id") == F.col("first"), "left_semi").dropDuplicates(["doc_id"])
-    pairs = candidates(firsts.select("doc_id", "n_shingles", "sketch"), options)
+    pairs, wide = candidates(firsts.select("doc_id", "n_shingles", "sketch"), options)
     found = components(confirmed(docs, pairs, options))
-    named = classes.join(found.hint("shuffle_hash"), F.col("first") == F.col("node"), "left").select(
-        F.col("mark").alias("m"), F.col("mark2").alias("m2"), F.col("n_shingles").alias("n"), F.coalesce("component", "first").alias("class_component")
+    joined = components(across_components(docs, wide, found, options)).toDF("part", "whole")
+    named = classes.join(found.hint("shuffle_hash"), F.col("first") == F.col("node"), "left").withColumn("near", F.coalesce("component", "first"))
+    named = named.join(joined.hint("shuffle_hash"), F.col("near") == F.col("part"), "left").select(
+        F.col("mark").alias("m"), F.col("mark2").alias("m2"), F.col("n_shingles").alias("n"), F.coalesce("whole", "near").alias("class_component")
     )
     named = settle(named, "near-named")
     ids = rows.select("doc_id", "n_shingles", "mark", "mark2")

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 from itertools import combinations
 
 import pytest
@@ -85,3 +86,18 @@ def test_keeps_one_of_each_group(spark):
 def test_empty_table(spark):
     assert N.group(documents(spark, [])).collect() == []
     assert N.group(documents(spark, [(1, None), (None, None), (2, " ")])).count() == 3
+
+
+def test_rows_at_the_rim_of_a_large_group(spark):
+    """Most texts of a group are linked by way of others; those with few links must not be lost."""
+    rng, base, rows = random.Random(3), prose(4, 150), []
+    for k in range(500):
+        words = list(base)
+        for at in rng.sample(range(150), rng.choice([2, 3, 3, 4, 5])):
+            words[at] = f"w{rng.randrange(10**9)}"
+        rows.append((k * 3 + 1, " ".join(words)))
+    want = brute(rows, 4)
+    assert 1 < len({r[2] for r in want}) < 500
+    assert found(N.group(documents(spark, rows), N.Options(shingle=4))) == want
+    small = N.Options(shingle=4, block=2_000, largest=2)
+    assert found(N.group(documents(spark, rows), small)) == want
