@@ -105,15 +105,21 @@ class Run:
                 tables.remove_days(self.spark, path, set(merge.days) - left)
         tables.remove(self.spark, used)
 
-    def news(self, layer: str, name: str, rows: DataFrame) -> tuple[DataFrame, Column | None]:
-        """The rows to load into a table, and the target rows they replace."""
+    def news(self, layer: str, name: str, rows: DataFrame, last_day: Column | None = None) -> tuple[DataFrame, Column | None]:
+        """The rows to load into a table, and the target rows they replace.
+
+        ``last_day`` is the day compared with the marks where a row goes on after its own day.
+        """
         if not self.incremental:
             return rows, None
         marks = up.high_water_marks(self.table(layer, name))
-        return (
-            up.newer_than(rows, marks, self.options.lookback_days),
-            replaced_days(marks, self.options.lookback_days),
-        )
+        compared = rows
+        if last_day is not None:
+            compared = rows.withColumns({"_own_day": F.col(tables.DAY), tables.DAY: last_day})
+        fresh = up.newer_than(compared, marks, self.options.lookback_days)
+        if last_day is not None:
+            fresh = fresh.withColumn(tables.DAY, F.col("_own_day")).select(*rows.columns)
+        return fresh, replaced_days(marks, self.options.lookback_days)
 
 
 def replaced_days(marks: dict[str | None, dt.date], lookback_days: int) -> Column | None:
@@ -200,9 +206,9 @@ def _tests(model: str) -> list[quality.Check]:
     return [*declared, *checks.logical_checks(model)]
 
 
-def _load(run: Run, name: str, rows: DataFrame, build: Callable[[DataFrame], DataFrame], keys: Sequence[str], **how) -> None:
+def _load(run: Run, name: str, rows: DataFrame, build: Callable[[DataFrame], DataFrame], keys: Sequence[str], last_day: Column | None = None, **how) -> None:
     """Load one fact from the rows after its own marks."""
-    news, replaced = run.news("warehouse", name, rows)
+    news, replaced = run.news("warehouse", name, rows, last_day)
     run.publish("warehouse", name, build(news), keys, replaced=replaced, tests=_tests(name), **how)
 
 
@@ -233,10 +239,12 @@ def load_pageviews(run: Run, pageviews: DataFrame) -> None:
 
 
 def load_facts(run: Run, staged: dict[str, DataFrame], unified: dict[str, DataFrame]) -> None:
-    session_key = ["source", "event_date", "user_fk", "ga_session_id"]
+    session_key, last_day = ["source", "event_date", "user_fk", "ga_session_id"], None
     if run.options.session_grain != "date":
+        # A whole session has its first day but goes on; a feed's own day may be one ahead of the time's.
         session_key = ["source", "user_fk", "ga_session_id"]
-    _load(run, "session_fct", unified["int__session"], facts.session_fct, session_key)
+        last_day = F.greatest(F.col(tables.DAY), F.date_add(F.to_date("session_end_ts"), 1))
+    _load(run, "session_fct", unified["int__session"], facts.session_fct, session_key, last_day)
     sessions = run.table("warehouse", "session_fct")
     if sessions is None:  # a run without sessions, for example of friction events alone
         sessions = facts.session_fct(unified["int__session"].limit(0))

@@ -151,6 +151,16 @@ def test_loading_the_last_days_again_changes_nothing(spark):
         same_rows(got[name], wanted[name])
 
 
+def test_whole_sessions_grow_with_later_days(spark):
+    root, options = work_path(spark, "whole"), Options(as_of=AS_OF, session_grain="session")
+    rows = [ga4("u", f"2024-01-0{n} 10:00:00", "page_view", 1, n) for n in (1, 2, 3)] + [ga4("v", "2024-01-02 10:00:00", "page_view", 2)]
+    for until in ("20240101", "20240102", "20240103"):
+        feeds = Feeds(ga4=ga4_frame(spark, [r for r in rows if r["event_date"] <= until]))
+        run_all(spark, feeds, root, "incremental", options)
+    got = published(spark, root)["session_fct"].collect()
+    assert sorted((r.user_fk, r.event_date, r.events_per_session) for r in got) == [("u", D[0], 3), ("v", D[1], 1)]
+
+
 def late_feeds(spark, late):
     rows = [ga4("u", "2024-01-01 10:00:00", "page_view", 1, 0), ga4("u", "2024-01-02 10:00:00", "page_view", 1, 1)]
     if late:
