@@ -131,17 +131,22 @@ def first_visits(sessions: DataFrame) -> DataFrame:
 
 
 def purchase_fct(purchases: DataFrame, sessions: DataFrame) -> DataFrame:
+    """FCT-5 from the session fact table, which is reduced to one row per user first (JOI-1)."""
+    return timed_purchases(purchases, first_visits(sessions))
+
+
+def timed_purchases(purchases: DataFrame, visits: DataFrame) -> DataFrame:
     """FCT-5: one row per bought item, with the time since the first visit.
 
-    ``sessions`` is the session fact table. It is reduced to one row per user
-    before the join (JOI-1); whether that side is broadcast, or a user with
-    very many purchases is split, is left to adaptive execution. The join is
-    made per purchase, before the items are unnested.
+    ``visits`` has one row per user. Adaptive execution splits a user with very
+    many purchases if it is a written table, as in a run; an aggregate right
+    before the join would keep that user in one task. The join is made per
+    purchase, before the items are unnested.
 
     Transaction amounts repeat on every item row: add up ``item_revenue`` and
     ``item_revenue_usd``, not ``purchase_revenue``.
     """
-    timed = purchases.join(first_visits(sessions), "user_fk", "left")
+    timed = purchases.join(visits, "user_fk", "left")
     usd, quantity = F.col("item_revenue_in_usd"), F.col("quantity")
     return one_row_per_item(timed).select(
         _item_key("purchase_pk"),

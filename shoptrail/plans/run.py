@@ -149,11 +149,21 @@ def _one_each(run: Run, events: DataFrame) -> DataFrame:
     return up.one_per_key(events, ["event_pk"], ["event_ts"]) if run.options.drop_copies else events
 
 
+def _stored(run: Run, name: str, staged: DataFrame, cluster: Sequence[str]) -> DataFrame:
+    """The staged table of a feed, with its new days loaded and tested."""
+    rows, replaced = run.news("staging", name, staged)
+    run.publish("staging", name, _one_each(run, rows), ["event_pk"], cluster=cluster, replaced=replaced, tests=_tests(name))
+    stored = run.table("staging", name)
+    return staged.limit(0) if stored is None else stored.select(*staged.columns)
+
+
 def stage_feeds(run: Run, feeds: Feeds) -> dict[str, DataFrame]:
     """Staged frames by name.
 
-    The two event feeds have five readers each, so they are written once, by
-    day and sorted by event name: a reader of one event name skips the rest.
+    A feed's rows after its last loaded day are picked first, then reduced to
+    one per key, then written once: tests, integration and facts read that
+    table. The two event feeds are sorted by event name, so that a reader of
+    one event name skips the rest. ContentSquare sessions have one reader.
     """
     on = run.options.sources
     staged: dict[str, DataFrame] = {}
@@ -162,23 +172,15 @@ def stage_feeds(run: Run, feeds: Feeds) -> dict[str, DataFrame]:
         "stg_snowplow__event": (on.snowplow, feeds.snowplow, staging.stage_snowplow_event),
     }
     for name, (enabled, raw, stage) in event_feeds.items():
-        if not enabled or raw is None:
-            continue
-        rows, replaced = run.news("staging", name, stage(raw))
-        run.publish(
-            "staging", name, _one_each(run, rows), ["event_pk"],
-            cluster=("event_name", "user_pseudo_id"), replaced=replaced, tests=checks.declared_checks(name),
-        )
-        staged[name] = run.table("staging", name)
+        if enabled and raw is not None:
+            staged[name] = _stored(run, name, stage(raw), ("event_name", "user_pseudo_id"))
     if on.contentsquare:
         for table, raw in feeds.contentsquare.items():
             if table == "sessions":
                 staged["stg_contentsquare__session"] = staging.stage_cs_session(raw)
-            elif table in _CS_STAGES:
-                name, stage = _CS_STAGES[table]
-                staged[name] = _one_each(run, stage(raw))
-            else:
-                staged[f"stg_contentsquare__{table}"] = _one_each(run, staging.stage_cs_signal(raw, table))
+                continue
+            name, stage = _CS_STAGES.get(table, (f"stg_contentsquare__{table}", partial(staging.stage_cs_signal, event_name=table)))
+            staged[name] = _stored(run, name, stage(raw), ("user_pseudo_id",))
     return staged
 
 
@@ -251,10 +253,12 @@ def load_facts(run: Run, staged: dict[str, DataFrame], unified: dict[str, DataFr
     load_pageviews(run, unified["int__pageview"])
     _load(run, "product_view_fct", unified["int__product_view"], facts.product_view_fct, ["product_view_pk"])
     _load(run, "add_to_cart_fct", unified["int__add_to_cart"], facts.add_to_cart_fct, ["add_to_cart_pk"])
+    visits, visits_path = run.written(facts.first_visits(sessions), "first_visits")
     _load(
-        run, "purchase_fct", unified["int__purchase"], lambda rows: facts.purchase_fct(rows, sessions),
+        run, "purchase_fct", unified["int__purchase"], lambda rows: facts.timed_purchases(rows, visits),
         ["purchase_pk"], cluster=("user_fk", "transaction_id"),
     )
+    tables.remove(run.spark, [visits_path])
     events = staged.get("stg_ga4__event", staged.get("stg_snowplow__event"))
     if events is not None:
         _load(run, "conversion_funnel_fct", events, facts.conversion_funnel_fct, ["funnel_pk"],
@@ -305,8 +309,8 @@ def run_all(
     run = Run(use_utc(spark), root, mode, options or Options(), warn_only)
     staged = stage_feeds(run, feeds)
     for name in checks.STAGING:
-        # The two event feeds were tested before they were published.
-        if name in staged and name not in ("stg_ga4__event", "stg_snowplow__event"):
+        # All others were tested before they were published.
+        if name in staged and name == "stg_contentsquare__session":
             run.test(name, _recent(run, staged[name]), checks.declared_checks(name))
     unified = integrate(run, staged)
     for name, df in unified.items():
