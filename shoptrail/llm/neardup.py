@@ -14,8 +14,8 @@ compared once more, together.
 Candidates whose sizes allow the similarity are confirmed on full sets, and
 links are closed to components by alternating star contractions. A region that
 was too large at the least depth may hide links between rows that stayed in
-different components: each row of a smaller component is then compared, on full
-sets and in blocks, with all rows of the largest components in its regions.
+different components: all its rows are then compared on full sets, in blocks,
+save those of one component.
 
 Defined cases: a text of fewer words than a shingle has its whole sequence as
 one shingle; a null text or one without words has an empty set and is linked
@@ -41,7 +41,7 @@ from shoptrail.llm.tables import importable, settle, tasks, text_rows
 @dataclass(frozen=True)
 class Options:
     """words in a shingle, similarity in percent; trees, least and full depth, rows of a small region,
-    neighbours in a chain; components of a large region that are searched whole, and shingles in a block of that search."""
+    neighbours in a chain; components of a large region that have blocks of their own, and shingles and rows in a block."""
 
     shingle: int = 5
     percent: int = 80
@@ -52,6 +52,7 @@ class Options:
     chain: int = 2
     largest: int = 8
     block: int = 200_000
+    rows: int = 2_000
 
     @property
     def functions(self) -> int:
@@ -277,23 +278,51 @@ def components(links: DataFrame) -> DataFrame:
         before = state
 
 
-def _meet(percent: int):
-    """Which askers are similar enough to any document of a block: (component, large)."""
-    def run(block: pa.Table, askers: pa.Table) -> pa.Table:
-        sets = [np.frombuffer(v.as_buffer(), np.uint64) for v in block["members"].combine_chunks()]
-        sizes = np.array([len(s) for s in sets], np.int64)
-        keys = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
-        order = np.argsort(keys, kind="stable")
-        keys, owner = keys[order], np.repeat(np.arange(len(sets)), sizes)[order]
-        good = np.zeros(askers.num_rows, bool)
-        for k, value in enumerate(askers["members"].combine_chunks() if len(sets) else ()):
-            asked = np.frombuffer(value.as_buffer(), np.uint64)
-            low, high = np.searchsorted(keys, asked, "left"), np.searchsorted(keys, asked, "right")
-            many = high - low
-            at = np.repeat(low - np.cumsum(many) + many, many) + np.arange(many.sum())
-            both = np.bincount(owner[at], minlength=len(sets))
-            good[k] = (100 * both >= percent * (sizes + len(asked) - both)).any()
-        return askers.select(["component", "large"]).filter(pa.array(good))
+def _overlaps(keys: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
+    """How many shingles any two of n sets share: common shingles by a product of matrices, others pair by pair."""
+    order = np.lexsort((owner, keys))
+    keys, owner = keys[order], owner[order]
+    new = np.ones(len(keys), bool)
+    new[1:] = keys[1:] != keys[:-1]
+    starts = np.flatnonzero(new)
+    many = np.diff(np.append(starts, len(keys)))
+    out = np.zeros((n, n), np.float32)
+    common = many > max(16, n // 32)
+    number = np.repeat(np.where(common, np.cumsum(common) - 1, -1), many)
+    for k in range(0, int(common.sum()), 1024):
+        at = np.flatnonzero((number >= k) & (number < k + 1024))
+        held = np.zeros((n, 1024), np.float32)
+        held[owner[at], number[at] - k] = 1
+        out += held @ held.T
+    at = np.flatnonzero(number < 0)
+    left = (np.repeat(starts + many, many) - np.arange(len(keys)) - 1)[at]
+    for step in range(1, int(left.max(initial=0)) + 1):  # a set holds a shingle once, so no pair stands twice in a key
+        i = at[left >= step]
+        pair, times = np.unique(owner[i] * n + owner[i + step], return_counts=True)
+        out.reshape(-1)[pair] += times
+    return out
+
+
+def _link(percent: int):
+    """The linked components of two blocks of a region, or of a block with itself: (a, b)."""
+    def run(rows: pa.Table) -> pa.Table:
+        rows = rows.combine_chunks()
+        component, side = rows["component"].to_numpy(), rows["side"].to_numpy()
+        a = b = component[:0]
+        if len(component) > 1 and (component != component[0]).any():
+            sets = [np.frombuffer(v.as_buffer(), np.uint64) for c in rows["members"].chunks for v in c]
+            sizes = np.array([len(s) for s in sets], np.int64)
+            both = _overlaps(np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes), len(sets))
+            both = np.triu(both, 1)
+            one, two = np.nonzero(both)
+            both = both[one, two].astype(np.int64)
+            good = 100 * both >= percent * (sizes[one] + sizes[two] - both)
+            good &= component[one] != component[two]
+            if rows["i"][0].as_py() != rows["j"][0].as_py():
+                good &= side[one] != side[two]
+            a, b = component[one[good]], component[two[good]]
+        pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0)
+        return pa.table({"a": pa.array(pairs[:, 0], pa.int64()), "b": pa.array(pairs[:, 1], pa.int64())})
 
     return run
 
@@ -301,46 +330,48 @@ def _meet(percent: int):
 def across_components(docs: DataFrame, wide: DataFrame, found: DataFrame, options: Options) -> DataFrame:
     """Links (a, b) between components that meet in a wide region.
 
-    A region's components are ranked by their documents. Each document asks the
-    region's largest components above its own; it is compared with all their
-    documents in wide regions, as any other link was compared before. Both
-    sides are cut into blocks of a bounded number of shingles.
+    All rows of a region are compared on full sets, unless they are in one
+    component already. A region is cut into blocks of a bounded number of rows
+    and shingles, and every two blocks meet. Its largest components have blocks
+    of their own, which need not meet each other; the others share theirs.
     """
+    region = ["tree", "path"]
     named = wide.join(found.hint("shuffle_hash"), F.col("doc_id") == F.col("node"), "left")
-    named = settle(named.select("tree", "path", "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component")), "near-wide")
-    members = settle(named.select("doc_id", "n_shingles", "component").distinct(), "near-members")
-    totals = members.groupBy("component").agg(
-        F.count("*").alias("docs"), F.sum("n_shingles").alias("total"), F.min("n_shingles").alias("low"), F.max("n_shingles").alias("high")
+    named = settle(named.select(*region, "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component")).distinct(), "near-wide")
+    parts = named.groupBy(*region, "component").agg(F.count("*").alias("docs"), F.sum("n_shingles").alias("total"))
+    parts = settle(parts, "near-parts")
+
+    def cut(docs, total):
+        return F.greatest(F.lit(1), F.ceil(docs / options.rows), F.ceil(total / options.block)).cast("long")
+
+    own = parts.withColumn("blocks", cut(F.col("docs"), F.col("total"))).filter("blocks > 1")
+    rank = F.row_number().over(Window.partitionBy(*region).orderBy(F.desc("blocks"), "component"))
+    own = settle(own.withColumn("rank", rank).filter(F.col("rank") <= options.largest), "near-own")
+    zones = own.groupBy(*region).agg(
+        F.sort_array(F.collect_list(F.struct("rank", "component", "blocks"))).alias("own"), F.sum("docs").alias("own_docs"), F.sum("total").alias("own_total")
     )
-    totals = settle(totals, "near-totals")
-    held = named.select("tree", "path", "component").distinct().join(totals, "component")
-    rank = F.row_number().over(Window.partitionBy("tree", "path").orderBy(F.desc("docs"), "component"))
-    top = held.withColumn("rank", rank).filter(F.col("rank") <= options.largest)
-    top = settle(top.select("tree", "path", F.col("component").alias("large"), F.col("docs").alias("large_docs"), "low", "high"), "near-largest")
-    size = F.col("n_shingles")
-    above = (F.col("large_docs") > F.col("docs")) | ((F.col("large_docs") == F.col("docs")) & (F.col("large") < F.col("component")))
-    fits = (100 * size >= options.percent * F.col("low")) & (100 * F.col("high") >= options.percent * size)
-    asks = named.join(totals.select("component", "docs"), "component").join(top, ["tree", "path"]).filter(above & fits)
-    asks = settle(asks.select(F.col("doc_id").alias("asker"), size, "component", "large").distinct(), "near-asks")
-    cuts = asks.groupBy("large").agg(F.ceil(F.sum("n_shingles") / options.block).alias("parts"))
-    cuts = cuts.join(totals.select(F.col("component").alias("large"), F.ceil(F.col("total") / options.block).alias("blocks")), "large")
-    cuts = settle(cuts, "near-cuts")
-    searched = members.join(cuts, F.col("component") == F.col("large")).select(F.col("doc_id").alias("asked"), "large", "parts", "blocks")
-    searched = settle(searched, "near-searched")
-    sets = sets_of(docs, asks.select(F.col("asker").alias("asked")).unionByName(searched.select("asked")), options).withColumnRenamed("doc_id", "asked")
-
-    def place(df: DataFrame, own: str, other: str) -> DataFrame:
-        """The block of a row on its side, and one copy for each block of the other side."""
-        mine, theirs = own.removesuffix("s"), other.removesuffix("s")
-        placed = df.withColumn(mine, F.pmod(F.xxhash64("asked"), F.col(own))).withColumn(theirs, F.explode(F.sequence(F.lit(0).cast("long"), F.col(other) - 1)))
-        return placed.drop("parts", "blocks")
-
-    key = ["large", "block", "part"]
-    asking = asks.withColumnRenamed("asker", "asked").join(cuts, "large").join(sets.hint("shuffle_hash"), "asked")
-    left = place(searched.join(sets.hint("shuffle_hash"), "asked"), "blocks", "parts").select(*[F.col(c).alias(c) for c in (*key, "members")])  # new names, as both sides come from the same tables
-    right = place(asking, "parts", "blocks").select(*key, "component", "members")
-    met = importable(left).groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(_meet(options.percent), "component long, large long")
-    return settle(met.distinct().select(F.col("component").alias("a"), F.col("large").alias("b")), "near-across")
+    sizes = parts.groupBy(*region).agg(F.count("*").alias("components"), F.sum("docs").alias("docs"), F.sum("total").alias("total")).filter("components > 1")
+    sizes = sizes.join(zones, region, "left")
+    rest = cut(F.col("docs") - F.coalesce("own_docs", F.lit(0)), F.col("total") - F.coalesce("own_total", F.lit(0)))
+    none = F.array().cast("array<long>")
+    sizes = settle(sizes.select(
+        *region, F.coalesce(F.col("own.component"), none).alias("owners"), F.concat(F.array(rest), F.coalesce(F.col("own.blocks"), none)).alias("blocks")
+    ), "near-zones")
+    # A row's zone is 0 for the shared blocks, or its component's own; it goes to every block that its own one must meet.
+    placed = named.join(sizes.hint("shuffle_hash"), region).withColumn("zone", F.array_position("owners", F.col("component")))
+    mine = F.col("zone") * F.lit(1 << 32) + F.pmod(F.xxhash64("doc_id"), F.element_at("blocks", (F.col("zone") + 1).cast("int")))
+    count = F.transform("blocks", lambda b, k: F.transform(F.sequence(F.lit(0).cast("long"), b - 1), lambda m: k.cast("long") * F.lit(1 << 32) + m))
+    placed = placed.withColumn("mine", mine).withColumn("other", F.explode(F.flatten(count)))
+    placed = placed.filter("zone = 0 or zone <> other div 4294967296")
+    placed = placed.select(
+        *region, F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"),
+        (F.col("mine") < F.col("other")).alias("side"), F.col("doc_id").alias("asked"), "component",
+    )
+    placed = settle(placed, "near-placed")
+    sets = sets_of(docs, placed.select("asked"), options).withColumnRenamed("doc_id", "asked")
+    rows = placed.join(sets.hint("shuffle_hash"), "asked").select(*region, "i", "j", "side", "component", "members")
+    met = importable(rows).groupBy(*region, "i", "j").applyInArrow(_link(options.percent), "a long, b long")
+    return settle(met.distinct(), "near-across")
 
 
 def group(docs: DataFrame, options: Options = Options()) -> DataFrame:

@@ -101,3 +101,20 @@ def test_rows_at_the_rim_of_a_large_group(spark):
     assert found(N.group(documents(spark, rows), N.Options(shingle=4))) == want
     small = N.Options(shingle=4, block=2_000, largest=2)
     assert found(N.group(documents(spark, rows), small)) == want
+
+
+def test_pairs_of_one_template_in_wide_regions(spark):
+    """Many documents share a template (0.74 alike); each has one near copy, which no rank may hide."""
+    rng, base, rows, size = random.Random(8), prose(4, 400), [], 4
+    for k in range(250):
+        words = list(base)
+        for at in rng.sample(range(0, 400, 4), 8):
+            words[at] = f"w{rng.randrange(10**9)}"
+        copy = list(words)
+        for at in rng.sample(range(2, 398, 4), 10):
+            copy[at] = f"w{rng.randrange(10**9)}"
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(copy))]
+    want = brute(rows, size)
+    assert 200 < len({r[2] for r in want}) <= 250
+    assert found(N.group(documents(spark, rows), N.Options(shingle=size))) == want
+    assert found(N.group(documents(spark, rows), N.Options(shingle=size, block=20_000, rows=50))) == want
