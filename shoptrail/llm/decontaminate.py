@@ -13,8 +13,8 @@ items travel with the tasks, in blocks of at most ``block_words`` words.
 
 Defined cases: null or empty texts have no words and never match; an item
 without words is no window, one shorter than a window is a window of its own.
-Repeated rows are matched alike. With several blocks, rows that share an id
-are one document. Empty tables give no matches. Null ids stay null.
+Repeated rows are matched alike, each for itself, in any number of blocks.
+Empty tables give no matches. Null ids stay null.
 """
 
 from __future__ import annotations
@@ -83,9 +83,27 @@ class Items:
         return np.where(self.vocabulary[at] == hashes, at, -1)
 
 
-def blocks(benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> Iterator[list[tuple[str, str]]]:
-    """The test items in blocks that tasks can hold; the size is measured first."""
-    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
+def _cut(length: int, words: int):
+    """Long items in pieces that hold ``words`` windows each."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in W.chunks(batches):
+            w = W.split(piece["text"], W.ALNUM, hashed=False)
+            of, texts = [], []
+            for k, n in enumerate(w.counts.tolist()):
+                for s in range(0, max(1, n - length + 1), words):
+                    last = min(s + words + length - 1, n)
+                    of.append(k)
+                    texts.append(w.data[w.starts[w.first[k] + s]:w.ends[w.first[k] + last - 1]].tobytes().decode() if n else "")
+            yield pa.RecordBatch.from_arrays([piece["item_id"].take(pa.array(of, pa.int64())), pa.array(texts, pa.string())], ["item_id", "text"])
+
+    return run
+
+
+def blocks(benchmark: DataFrame, block_words: int = BLOCK_WORDS, length: int = LENGTH) -> Iterator[list[tuple[str, str]]]:
+    """The different test items in blocks that tasks can hold, long ones cut by windows; the size is measured first."""
+    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.coalesce(F.col("text"), F.lit("")).alias("text")).distinct()
+    pieces = importable(items).mapInArrow(_cut(length, max(1, block_words // 16)), "item_id string, text string")
+    items = settle(pieces.distinct(), "benchmark-pieces")
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     # A word takes two bytes at least, with what parts it from the next one.
     count = 1 + size // (2 * block_words)
@@ -173,6 +191,18 @@ def _intersect(of: np.ndarray, terms: np.ndarray, places: np.ndarray, items: Ite
     return doc[inside], window[inside], (start if slack is None else anchor)[inside]
 
 
+_SPANS = pa.list_(pa.struct([("item_id", pa.string()), ("start", pa.int32()), ("length", pa.int32())]))
+
+
+def _spans(of: np.ndarray, terms: np.ndarray, places: np.ndarray, rows: int, items: Items, slack: int | None) -> list[list[dict]]:
+    """The spans of each of fewer than 4,096 documents."""
+    doc, window, start = _intersect(of, terms, places, items, slack)
+    spans: list[list[dict]] = [[] for _ in range(rows)]
+    for d, w, s in zip(doc.tolist(), window.tolist(), start.tolist(), strict=True):
+        spans[d].append({"item_id": items.names[items.item[w]], "start": s, "length": int(items.lengths[w])})
+    return spans
+
+
 def match(index: DataFrame, items: Items, slack: int | None = None) -> DataFrame:
     """doc_id, n_words, spans: exact phrases, or with ``slack`` proximity matches.
 
@@ -186,29 +216,51 @@ def match(index: DataFrame, items: Items, slack: int | None = None) -> DataFrame
                 piece = batch.slice(k, 4000)
                 lists = piece["terms"]
                 of = np.repeat(np.arange(piece.num_rows), np.diff(lists.offsets.to_numpy()))
-                doc, window, start = _intersect(of, lists.flatten().to_numpy(), piece["positions"].flatten().to_numpy(), items, slack)
-                spans: list[list[dict]] = [[] for _ in range(piece.num_rows)]
-                for d, w, s in zip(doc.tolist(), window.tolist(), start.tolist(), strict=True):
-                    spans[d].append({"item_id": items.names[items.item[w]], "start": s, "length": int(items.lengths[w])})
-                kind = pa.list_(pa.struct([("item_id", pa.string()), ("start", pa.int32()), ("length", pa.int32())]))
-                yield pa.RecordBatch.from_arrays([piece["doc_id"], piece["n_words"], pa.array(spans, kind)], ["doc_id", "n_words", "spans"])
+                spans = _spans(of, lists.flatten().to_numpy(), piece["positions"].flatten().to_numpy(), piece.num_rows, items, slack)
+                yield pa.RecordBatch.from_arrays([piece["doc_id"], piece["n_words"], pa.array(spans, _SPANS)], ["doc_id", "n_words", "spans"])
 
     return importable(index).mapInArrow(run, f"doc_id long, n_words long, spans {SPANS}")
 
 
+def _add_spans(rows: DataFrame, items: Items, reach: int, slack: int | None) -> DataFrame:
+    """Rows (doc_id, text, spans), with the spans of one more block of items added to each row."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in W.chunks(batches):
+            for k in range(0, piece.num_rows, 4000):
+                part = piece.slice(k, 4000)
+                _, of, terms, places = _postings(part, items, reach)
+                more = _spans(of, terms, places, part.num_rows, items, slack)
+                spans = [old + new for old, new in zip(part["spans"].to_pylist(), more, strict=True)]
+                yield pa.RecordBatch.from_arrays([part["doc_id"], part["text"], pa.array(spans, _SPANS)], ["doc_id", "text", "spans"])
+
+    return importable(rows).mapInArrow(run, f"doc_id long, text string, spans {SPANS}")
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for piece in W.chunks(batches):
+        counts = W.split(piece["text"], W.ALNUM, lower=True, hashed=False).counts
+        yield pa.RecordBatch.from_arrays([piece["doc_id"], pa.array(counts, pa.int64()), piece["spans"]], ["doc_id", "n_words", "spans"])
+
+
 def matches(docs: DataFrame, benchmark: DataFrame, length: int = LENGTH, slack: int | None = None, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """All documents with the spans that match a window of a test item."""
-    found = []
-    for rows in blocks(benchmark, block_words):
-        items = Items.of(rows, length)
+    """All documents with the spans that match a window of a test item.
+
+    One block of items reads the stored index. Several go over the rows one
+    after another and add to their spans, so a row needs no id to stay itself.
+    """
+    reach = length - 1 + (slack or 0)
+    rows, first = text_rows(docs).withColumn("spans", F.array().cast(SPANS)), None
+    for k, block in enumerate(blocks(benchmark, block_words, length)):
+        items = Items.of(block, length)
         items.ranked(count_terms(docs, items))
-        found.append(match(build_index(docs, items, length - 1 + (slack or 0)), items, slack))
-    if len(found) == 1:
-        return found[0]
-    out = found[0]
-    for more in found[1:]:
-        out = out.unionByName(more)
-    return out.groupBy("doc_id").agg(F.max("n_words").alias("n_words"), F.flatten(F.collect_list("spans")).alias("spans"))
+        if k:
+            rows = _add_spans(rows if first is None else _add_spans(rows, first, reach, slack), items, reach, slack)
+            first = None
+        else:
+            first = items
+    if first is not None:
+        return match(build_index(docs, first, reach), first, slack)
+    return rows.mapInArrow(_counted, f"doc_id long, n_words long, spans {SPANS}")
 
 
 def summary(found: DataFrame) -> DataFrame:
@@ -238,7 +290,7 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, length: int = LENGTH) -> D
     Each task indexes and matches the rows it holds, so no verdict travels.
     """
     out = docs
-    for rows in blocks(benchmark):
+    for rows in blocks(benchmark, length=length):
         items = Items.of(rows, length)
         items.ranked(count_terms(docs, items))
 

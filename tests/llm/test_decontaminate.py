@@ -73,3 +73,23 @@ def test_clean_documents_keep_their_columns(spark):
     assert kept.schema.names == docs.schema.names
     want = {r[0] for r in brute(rows, items) if not r[5]}
     assert {r.doc_id for r in kept.collect()} == want
+
+
+def test_repeated_and_null_ids_in_several_blocks(spark):
+    """Every row stays itself, whatever the number of blocks."""
+    rows, items = cases()
+    hit = rows[7][1]
+    rows += [(None, hit), (None, "no words of a test"), (7, "other text under a used id")]
+    found = D.summary(D.matches(documents(spark, rows), items_table(spark, items), block_words=150)).collect()
+    assert sorted((tuple(r) for r in found), key=str) == brute(rows, items)
+
+
+def test_blocks_are_bounded(spark):
+    """One long item is cut by windows, and one in many rows is taken once."""
+    long = " ".join(prose(901, 1000))
+    blocks = list(D.blocks(items_table(spark, [(1, long)] + [(2, "the same words " * 20)] * 50), 200))
+    assert max(sum(len(alnum(t)) for _, t in b) for b in blocks) < 1000
+    assert sum(t.startswith("the same") for b in blocks for _, t in b) < 50
+    rows = [(1, " ".join(prose(901, 1000)[k:k + 10])) for k in range(0, 990, 33)] + [(2, long)]
+    found = D.summary(D.matches(documents(spark, rows), items_table(spark, [(1, long)]), block_words=200)).collect()
+    assert sorted((tuple(r) for r in found), key=str) == brute(rows, [(1, long)])
