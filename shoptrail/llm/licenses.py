@@ -1,7 +1,8 @@
 """License scans: ordered signature rules with a keyword prefilter.
 
 Rules are made from a table of licences and a list of forms (identifier, link,
-grant, name with version, name). A rule is tried only on texts that hold its
+grant, name with version, name); others are words of a licence's own text or of
+its notice header. A rule is tried only on texts that hold its
 keyword. Detections are ordered by priority, then length, then place; one whose
 span lies inside an accepted span is dropped. Base phrases are counted on words
 and always stay.
@@ -71,6 +72,38 @@ STATEMENTS = (
     ("copyright-notice", r"copyright (?:\(c\) |\xc2\xa9 )?\d{4}", "copyright", 0.4),
     ("non-commercial", r"for non-?commercial use only", "commercial use", 0.6),
 )
+# A licence's own words, which need not name it: label, words (regular expressions) with any gap between them, keyword, confidence.
+BODIES = (
+    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files", "hereby", 0.95),
+    ("bsl", "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation covered by this licen[sc]e", "hereby", 0.95),
+    ("isc", "permission to use copy modify and(?:/or)? distribute this software for any purpose with or without fee is hereby granted", "hereby", 0.9),
+    ("postgresql", "permission to use copy modify and distribute this software and its documentation for any purpose without fee and without a written agreement is hereby granted", "hereby", 0.95),
+    ("hpnd", "permission to use copy modify distribute and sell this software and its documentation for any purpose is hereby granted", "hereby", 0.9),
+    ("bsd", "redistributions? and use in source and binary forms with or without modification(?:s)? are permitted", "redistribution", 0.9),
+    ("bsd-2-clause", "materials provided with the distribution this software is provided by", "redistribution", 0.9),
+    ("bsd-3-clause", "names? of its contributors may be used to endorse or promote products derived from this software", "endorse", 0.9),
+    ("bsd-4-clause", "all advertising materials mentioning features or use of this software must display the following acknowledge?ment", "advertising", 0.95),
+    ("zlib", "this software is provided as is without any express or implied warranty in no event will the authors be held liable for any damages", "authors", 0.9),
+    ("zlib", "altered source versions must be plainly marked as such and must not be misrepresented as being the original software", "altered", 0.95),
+    ("apache", "you may not use this file except in compliance with the licen[sc]e", "compliance", 0.85),
+    ("apache", "unless required by applicable law or agreed to in writing software distributed under the licen[sc]e is distributed on an as is basis", "applicable", 0.85),
+    ("mpl-2.0", "if a copy of the mpl was not distributed with this file you can obtain one at", "mpl", 0.95),
+    ("unlicense", "this is free and unencumbered software released into the public domain", "unencumbered", 0.95),
+    ("wtfpl", "you just do what the fuck you want to", "fuck", 0.9),
+    ("ofl", "neither the font software nor any of its individual components in original or modified versions may be sold by itself", "font", 0.95),
+    ("artistic", "the intent of this document is to state the conditions under which a package may be copied", "intent", 0.9),
+    ("psf", "psf is making python available to licensee", "licensee", 0.95),
+    ("json", "the software shall be used for good not evil", "evil", 0.95),
+    ("beerware", "as long as you retain this notice you can do whatever you want with this stuff", "retain", 0.95),
+    ("openssl", "this product includes software developed by the openssl project", "openssl", 0.9),
+    ("cc0", "waive(?:s|d)? all copyright and related", "waive", 0.8),
+)
+# Notices that tell the version after the publisher: label, name, versions, keyword.
+NOTICES = (
+    ("gpl", "gnu general public licen[sc]e", ("1", "2", "3"), "general"),
+    ("lgpl", "gnu l(?:esser|ibrary) general public licen[sc]e", ("2", "2.1", "3"), "general"),
+    ("agpl", "gnu affero general public licen[sc]e", ("1", "3"), "affero"),
+)
 _WORD, _GAP = rb"[0-9a-z\x80-\xff]", rb"[^0-9a-z\x80-\xff]"
 
 
@@ -88,6 +121,12 @@ def _compiled(text: str) -> re.Pattern[bytes]:
     return re.compile(rb"(?<!" + _WORD + rb")(?:" + body + rb")(?!" + _WORD + rb")")
 
 
+def _spread(text: str) -> re.Pattern[bytes]:
+    """Words with any punctuation, line break or comment mark between them."""
+    body = (_GAP + rb"+").join(w.encode() for w in text.split(" "))
+    return re.compile(rb"(?<!" + _WORD + rb")" + body + rb"(?!" + _WORD + rb")")
+
+
 def signatures() -> list[Signature]:
     """All rules, the most telling form of a licence first."""
     out = []
@@ -105,6 +144,11 @@ def signatures() -> list[Signature]:
         out.append(Signature(label, keywords, _compiled(rf"(?:licensed|released|distributed|available|published|covered) (?:under|by) (?:the )?(?:terms of (?:the )?)?(?:{name})"), 60, 0.85))
         # Bare names: a short one says nothing without the word licence beside it.
         out += [Signature(label, keywords, _compiled(n if "licen" in n or " " in n else rf"{n} licen[sc]e"), 50, 0.7) for n in names]
+    out += [Signature(label, (key.encode(),), _spread(words), 65, sure) for label, words, key, sure in BODIES]
+    for label, name, versions, key in NOTICES:
+        for version in versions:
+            words = rf"{name} as published by the free software foundation(?:[^0-9a-z]+either)? version {re.escape(version)}(?!\.[1-9])"
+            out.append(Signature(f"{label}-{version if '.' in version else version + '.0'}", (key.encode(),), _spread(words), 75, 0.95))
     out += [Signature(label, (key.encode(),), _compiled(pattern), 30, sure) for label, pattern, key, sure in STATEMENTS]
     return out
 

@@ -106,6 +106,31 @@ def test_signatures_resolve_overlaps():
     assert labels(LEGAL[9]) == [] and labels("") == []
 
 
+NOTICES = [
+    ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy\n * of this software and associated documentation files (the \"Software\"), to deal"),
+    ("bsd", "Redistribution and use in source and binary forms, with or without\n# modification, are permitted provided that the following conditions are met:"),
+    ("bsd-3-clause", "Neither the name of the University nor the names of its contributors may be used to endorse or promote products\nderived from this software without specific"),
+    ("isc", "Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted, provided that"),
+    ("zlib", "This software is provided 'as-is', without any express or implied\nwarranty. In no event will the authors be held liable for any damages"),
+    ("zlib", "2. Altered source versions must be plainly marked as such, and must not be\n   misrepresented as being the original software."),
+    ("apache", "you may not use this file except in compliance with the License.\nYou may obtain a copy"),
+    ("unlicense", "This is free and unencumbered software released into the public domain."),
+    ("gpl-3.0", "under the terms of the GNU General Public License as published by\n// the Free Software Foundation, either version 3 of the License, or"),
+    ("lgpl-2.1", "the GNU Lesser General Public\n * License as published by the Free Software Foundation; either\n * version 2.1 of the License"),
+    ("gpl-2.0", "the GNU General Public License as published by the Free Software Foundation; version 2."),
+]
+
+
+def test_licences_by_their_own_words():
+    scan = licenses.Scanner()
+    for label, notice in NOTICES:
+        assert [d[2] for d in scan.detections(notice.lower().encode())] == [label], notice
+    for label, words, key, _ in licenses.BODIES:
+        plain = words.replace("[sc]", "c").replace("(?:/or)?", "").replace("(?:s|d)?", "").replace("(?:s)?", "").replace("s?", "s").replace("e?", "e")
+        if key in plain:
+            assert label in {d[2] for d in scan.detections(plain.encode())}, label
+
+
 # -- toxicity
 
 
