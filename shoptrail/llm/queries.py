@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoptrail.llm import chat, decontaminate, hosts, licenses, lines, mixing, neardup, quality, substrings, toxicity
+from shoptrail.llm import chat, decontaminate, exact, hosts, licenses, lines, mixing, neardup, quality, substrings, toxicity
 from shoptrail.session import use_utc
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -135,3 +135,16 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 @query("op6_toxicity_pu")
 def _(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.judge(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query("op11_exact_bloom")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    return exact.groups(table(spark, folder, "documents"))
+
+
+SQL["op11_exact_bloom"] = r"""
+WITH d AS (SELECT doc_id, translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents)
+SELECT doc_id, MAX(doc_id) OVER same AS keep_id, COUNT(*) OVER same AS group_size,
+       ROW_NUMBER() OVER (PARTITION BY t ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, sha256(t) AS text_sha256
+FROM d WINDOW same AS (PARTITION BY t)
+"""
