@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoptrail.llm import chat, decontaminate, exact, hosts, licenses, lines, mixing, neardup, quality, substrings, toxicity
+from shoptrail.llm import chat, decontaminate, exact, hosts, licenses, lines, mixing, neardup, negatives, quality, substrings, toxicity
 from shoptrail.session import use_utc
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -148,3 +148,30 @@ SELECT doc_id, MAX(doc_id) OVER same AS keep_id, COUNT(*) OVER same AS group_siz
        ROW_NUMBER() OVER (PARTITION BY t ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, sha256(t) AS text_sha256
 FROM d WINDOW same AS (PARTITION BY t)
 """
+
+
+@query("op12_hard_negatives")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    """Every seventh label is moved on by one, so that some rows are labelled unlike their neighbours."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, folder, "embeddings").select("vec_id", moved.alias("label"), "embedding")
+    return negatives.mine(rows, F.col("vec_id") % 100 == 0)
+
+
+SQL["op12_hard_negatives"] = r"""
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, a.label AS own, v.vec_id, v.label, list_dot_product(a.e, v.e)::BIGINT AS score
+  FROM v a JOIN v ON a.vec_id % 100 = 0 AND v.vec_id <> a.vec_id),
+p AS (
+  SELECT anchor_id, vec_id AS positive_id, own, score AS positive_score FROM s WHERE label = own
+  QUALIFY ROW_NUMBER() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, positive_id, ROW_NUMBER() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id)::INTEGER AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND s.label <> p.own AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10
+"""
