@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoptrail.llm import chat, decontaminate, exact, hosts, licenses, lines, mixing, neardup, negatives, quality, substrings, toxicity
+from shoptrail.llm import chat, decontaminate, exact, hosts, licenses, lines, mixing, neardup, negatives, quality, spelling, substrings, toxicity
 from shoptrail.session import use_utc
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -175,3 +175,40 @@ SELECT p.anchor_id, positive_id, ROW_NUMBER() OVER (PARTITION BY p.anchor_id, po
 FROM p JOIN s ON s.anchor_id = p.anchor_id AND s.label <> p.own AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
 QUALIFY rank <= 10
 """
+
+
+@query("op13_spelling_variants")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.group(table(spark, folder, "documents"), spell=spelling.with_slips)
+
+
+# Near words share what is left of them without one letter: all of it (and its place) if a letter was replaced.
+SQL["op13_spelling_variants"] = r"""
+WITH RECURSIVE step(byte, k, c) AS (
+  SELECT b, 0, b::BIGINT FROM range(256) t(b)
+  UNION ALL SELECT byte, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM step WHERE k < 8),
+crc AS (SELECT list(c ORDER BY byte) AS of_byte FROM step WHERE k = 8),
+r AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{C0}-\x{FF}]+')) AS run FROM documents),
+d AS (SELECT COALESCE(doc_id::VARCHAR, '') || ':' || run AS name, run, COUNT(*) AS n FROM r WHERE length(run) >= 7 GROUP BY ALL),
+h AS (
+  SELECT run, n, xor(list_reduce(
+    flatten(list_transform(string_split(name, ''), lambda ch: CASE WHEN ord(ch) < 128 THEN [ord(ch)] ELSE [192 + ord(ch) // 64, 128 + ord(ch) % 64] END))::BIGINT[],
+    lambda c, b: xor(of_byte[(xor(c, b) & 255) + 1], c >> 8), 4294967295::BIGINT), 4294967295) AS h FROM d, crc),
+w AS (
+  SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, (h % length(run))::BIGINT) || substr(run, (h % length(run))::BIGINT + 2) ELSE run END AS word, SUM(n)::BIGINT AS n
+  FROM h GROUP BY 1 HAVING length(word) >= 7 AND SUM(n) >= 2),
+cut AS (SELECT word, n, k, substr(word, 1, k) || substr(word, k + 2) AS rest FROM w, LATERAL (SELECT unnest(range(length(word)))) t(k)),
+pair AS (
+  SELECT a.word, a.n, b.word AS near, b.n AS near_n FROM cut a JOIN cut b ON a.rest = b.rest AND a.k = b.k AND a.word <> b.word
+  UNION SELECT a.word, a.n, w.word, w.n FROM cut a JOIN w ON a.rest = w.word
+  UNION SELECT w.word, w.n, a.word, a.n FROM cut a JOIN w ON a.rest = w.word),
+f AS (SELECT word, COUNT(*) AS n_near, arg_min(near, (-near_n, near)) AS best, MAX(near_n) AS best_n FROM pair GROUP BY word),
+v AS (
+  SELECT w.word, n, COALESCE(n_near, 0)::BIGINT AS n_near, CASE WHEN best_n >= 10 * n THEN best END AS form, CASE WHEN best_n >= 10 * n THEN best_n END AS form_n
+  FROM w LEFT JOIN f ON w.word = f.word),
+chain(word, root) AS (
+  SELECT word, word FROM v UNION ALL SELECT chain.word, v.form FROM chain JOIN v ON chain.root = v.word WHERE v.form IS NOT NULL),
+last AS (SELECT chain.word, chain.root FROM chain JOIN v ON chain.root = v.word AND v.form IS NULL)
+SELECT v.word, form, root, n, n_near, form_n FROM v JOIN last ON v.word = last.word
+"""
