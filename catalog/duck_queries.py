@@ -545,3 +545,7 @@ add("consistent_totals", """
   from (select *, abs(left_total - right_total) as difference from (
     select (select sum(purchase_revenue_per_session) from session_fct) as left_total,
       (select sum(item_revenue_usd) from purchase_fct) as right_total))""", "session_fct", "purchase_fct")
+
+
+# The SQL of the other queries, by topic; they use what is above.
+from catalog import duck_timelines  # noqa: E402, F401

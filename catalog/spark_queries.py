@@ -836,3 +836,7 @@ query("consistent_totals")(lambda feed: q.consistent_totals(
     feed.published("session_fct"), F.sum("purchase_revenue_per_session"),
     feed.published("purchase_fct"), F.sum("item_revenue_usd"), 55.0,
 ))
+
+
+# The other registered queries, by topic; they use what is above.
+from catalog import spark_timelines  # noqa: E402, F401
