@@ -24,9 +24,7 @@ table gives an empty one.
 
 from __future__ import annotations
 
-import re
 import zlib
-from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -35,14 +33,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shoptrail.llm import words as W
 from shoptrail.llm.tables import importable, settle, text_rows
 
 AXES = 40  # a to z, and 14 for all other letters
-LEAF = 24  # words of a leaf within a cell
+LEAF = 64  # words of a leaf within a cell
+CUT_ROWS = 1_000  # a cut is chosen from so many points if they differ
 KEPT_WORDS = 200_000  # counted in a task before they are sent on
 STRIP = 20_000  # searches of a cell at a time
+PAIRS = 1 << 20  # and pairs that are compared at a time
 
-Spell = Callable[[str, str], str]
+# By id: what a run of a document counts as.
+Spell = Callable[[str], Callable[[str], str]]
 
 
 @dataclass(frozen=True)
@@ -54,7 +56,7 @@ class Options:
     times: int = 2
     ratio: int = 10
     sample: int = 50_000
-    cell: int = 1_000
+    cell: int = 4_000
     part: int = 50_000
 
     def __post_init__(self):
@@ -62,41 +64,65 @@ class Options:
             raise ValueError("a form stands more often than its variant, or chains of forms need not end")
 
 
-def as_written(doc_id: str, run: str) -> str:
-    return run
+def as_written(doc_id: str) -> Callable[[str], str]:
+    return lambda run: run
 
 
-def with_slips(doc_id: str, run: str) -> str:
+def with_slips(doc_id: str) -> Callable[[str], str]:
     """One run in 31, by hash of id and run, loses a letter."""
-    h = zlib.crc32(f"{doc_id}:{run}".encode())
-    if h % 31:
-        return run
-    at = h % len(run)
-    return run[:at] + run[at + 1:]
+    begun = zlib.crc32(f"{doc_id}:".encode())
 
+    def spell(run: str) -> str:
+        h = zlib.crc32(run.encode(), begun)
+        if h % 31:
+            return run
+        at = h % len(run)
+        return run[:at] + run[at + 1:]
+
+    return spell
+
+
+def letter_runs(texts: pa.Array, letters: int) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
+    """The bytes of all texts, A-Z lower-cased, and where maximal runs of so many letters at least begin and end, and their text.
+
+    Letters are a-z and U+00C0 to U+00FF, whose two bytes in UTF-8 are 0xC3 and one more.
+    """
+    data, offsets = W.buffers(texts)
+    data = W.LOWER[data]
+    second = np.zeros(len(data), bool)
+    second[1:] = (data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] < 0xC0)
+    inside = ((data >= 97) & (data < 123)) | second
+    inside[:-1] |= second[1:]
+    edge = np.zeros(len(data) + 1, bool)
+    edge[offsets] = True
+    begins, stops = inside.copy(), inside.copy()
+    begins[1:] &= ~inside[:-1] | edge[1:-1]
+    stops[:-1] &= ~inside[1:] | edge[1:-1]
+    starts, ends = np.flatnonzero(begins), np.flatnonzero(stops) + 1
+    seconds = np.concatenate([[0], np.cumsum(second, dtype=np.int64)])
+    long = ends - starts - (seconds[ends] - seconds[starts]) >= letters
+    starts, ends = starts[long], ends[long]
+    return data.tobytes(), starts, ends, np.searchsorted(offsets, starts, side="right") - 1
 
-def _count(letters: int, spell: Spell):
-    # Only A-Z are lower-cased; À to ÿ are letters as they stand.
-    runs = re.compile("[a-zÀ-ÿ]{%d,}" % letters)
 
-    def batch_of(counts: Counter) -> pa.RecordBatch:
+def _count(letters: int, spell: Spell):
+    def batch_of(counts: dict[str, int]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], ["word", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter = Counter()
-        for batch in batches:
-            for i, text in zip(batch["doc_id"].to_pylist(), batch["text"].cast(pa.large_binary()), strict=True):
-                if not text.is_valid:
-                    continue
-                name = "" if i is None else str(i)
-                # Lower-casing bytes touches ASCII letters only.
-                for word, n in Counter(runs.findall(text.as_py().lower().decode())).items():
-                    word = spell(name, word)
-                    if len(word) >= letters:
-                        counts[word] += n
-                if len(counts) >= KEPT_WORDS:
-                    yield batch_of(counts)
-                    counts = Counter()
+        counts: dict[str, int] = {}
+        for piece in W.chunks(batches):
+            data, starts, ends, of = letter_runs(piece["text"], letters)
+            names, at, spelled = piece["doc_id"].to_pylist(), -1, None
+            for a, b, i in zip(starts.tolist(), ends.tolist(), of.tolist(), strict=True):
+                if i != at:
+                    at, spelled = i, spell("" if names[i] is None else str(names[i]))
+                word = spelled(data[a:b].decode())
+                if len(word) >= letters:
+                    counts[word] = counts.get(word, 0) + 1
+            if len(counts) >= KEPT_WORDS:
+                yield batch_of(counts)
+                counts = {}
         if counts:
             yield batch_of(counts)
 
@@ -109,20 +135,30 @@ def vocabulary(docs: DataFrame, options: Options = Options(), spell: Spell = as_
     return settle(counts.groupBy("word").agg(F.sum("n").alias("n")).filter(F.col("n") >= options.times), "spelling-words")
 
 
+def axis_of(codes: np.ndarray) -> np.ndarray:
+    return np.where((codes >= 97) & (codes < 123), codes - 97, 26 + codes % (AXES - 26)).astype(np.int64)
+
+
 @dataclass
 class Spelled:
-    """Words of one length as code points, and as points."""
+    """Words of one length as code points, as points, and as marks: a bit for each letter's first, second and third time."""
 
     codes: np.ndarray
     points: np.ndarray
+    marks: np.ndarray
 
     @staticmethod
     def of(words: list[str], length: int) -> Spelled:
-        codes = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32).reshape(len(words), length)
-        points = np.zeros((len(words), AXES), np.int8 if length < 128 else np.int32)
-        axis = np.where((codes >= 97) & (codes < 123), codes - 97, 26 + codes % (AXES - 26))
-        np.add.at(points, (np.arange(len(words))[:, None], axis), 1)
-        return Spelled(codes, points)
+        n = len(words)
+        codes = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32).reshape(n, length)
+        points = np.zeros((n, AXES), np.int32)
+        for k in range(0, n, STRIP):
+            part = axis_of(codes[k:k + STRIP]) + AXES * np.arange(len(codes[k:k + STRIP]))[:, None]
+            points[k:k + STRIP] = np.bincount(part.ravel(), minlength=len(part) * AXES).reshape(-1, AXES)
+        bits = np.zeros((n, 128), bool)
+        for times in range(3):
+            bits[:, times * AXES:(times + 1) * AXES] = points > times
+        return Spelled(codes, points if length > 127 else points.astype(np.int8), np.packbits(bits, axis=1).view(np.uint64))
 
 
 @dataclass
@@ -158,51 +194,60 @@ class Tree:
             todo += [(rows[~low], at, True), (rows[low], at, False)]
         return tree, place
 
-    def reached(self, points: np.ndarray, down: int, up: int) -> tuple[np.ndarray, np.ndarray]:
-        """Pairs of points and leaves whose box lies at most ``down`` steps below and ``up`` steps above the point.
+    def reached(self, points: np.ndarray, steps: str) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs of points and leaves whose box the steps can reach: "none", one "up" (a letter more), or one up and one down ("both").
 
-        A box is bounded by the cuts on the way to it. Steps are summed over axes: a second
-        cut of the same axis counts only what it asks beyond the first.
+        With both, the step up is on a later axis than the step down: of two words that differ so,
+        one finds the other, and a search leaves out half of the boxes at two steps.
         """
         found_rows, found_leaves = [], []
         n = len(points)
-        todo = [(0, np.arange(n), np.zeros(n, np.int32), np.zeros(n, np.int32), {})]
+        none = np.full(n, -1, np.int8)
+        todo = [(0, np.arange(n), none, none)]
         while todo:
-            at, rows, below, above, spent = todo.pop()
+            at, rows, down, up = todo.pop()
             axis = self.axis[at]
             if axis < 0:
                 found_rows.append(rows)
                 found_leaves.append(np.full(len(rows), self.leaf[at], np.int64))
                 continue
-            value = points[rows, axis].astype(np.int32)
-            paid_down, paid_up = spent.get(axis, (np.int32(0), np.int32(0)))
-            more_down = np.maximum(value - self.cut[at] - paid_down, 0)  # to the left box
-            more_up = np.maximum(self.cut[at] + 1 - value - paid_up, 0)  # to the right box
-            for child, steps_down, steps_up in ((self.left[at], more_down, 0), (self.right[at], 0, more_up)):
-                b, a = below + steps_down, above + steps_up
-                go = (b <= down) & (a <= up)
-                if go.any():
-                    paid = {k: tuple(p[go] if np.ndim(p) else p for p in v) for k, v in spent.items()}
-                    down_now, up_now = paid_down + steps_down, paid_up + steps_up
-                    paid[axis] = tuple(p[go] if np.ndim(p) else p for p in (down_now, up_now))
-                    todo.append((child, rows[go], b[go], a[go], paid))
-        if not found_rows:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        return np.concatenate(found_rows), np.concatenate(found_leaves)
+            value, cut = points[rows, axis], self.cut[at]
+            left, right = value <= cut, value > cut
+            if steps != "none":
+                rises = (value == cut) & ((up == axis) | ((up < 0) & (down < axis)))
+                todo_right = (right | rises, rises)
+            else:
+                todo_right = (right, None)
+            if steps == "both":
+                sinks = (value == cut + 1) & ((down == axis) | ((down < 0) & ((up < 0) | (up > axis))))
+                todo_left = (left | sinks, sinks)
+            else:
+                todo_left = (left, None)
+            go, paid = todo_right
+            if go.any():
+                todo.append((self.right[at], rows[go], down[go], (up if paid is None else np.where(paid, np.int8(axis), up))[go]))
+            go, paid = todo_left
+            if go.any():
+                todo.append((self.left[at], rows[go], (down if paid is None else np.where(paid, np.int8(axis), down))[go], up[go]))
+        return (np.concatenate(found_rows), np.concatenate(found_leaves)) if found_rows else (np.zeros(0, np.int64), np.zeros(0, np.int64))
 
 
 def _cut(points: np.ndarray) -> tuple[int, int]:
-    """The axis and value that part the points most evenly; -1 if all are equal."""
-    best, at = 0, (-1, 0)
-    n = len(points)
-    for axis in np.flatnonzero(points.max(axis=0) > points.min(axis=0)):
-        values, counts = np.unique(points[:, axis], return_counts=True)
-        upto = np.cumsum(counts)[:-1]
-        even = np.minimum(upto, n - upto)
-        k = int(even.argmax())
-        if even[k] > best:
-            best, at = int(even[k]), (int(axis), int(values[k]))
-    return at
+    """The axis and value that part the points, or the first of them, most evenly; -1 if all are equal."""
+    for some in (points[:CUT_ROWS], points):
+        low, high = some.min(axis=0), some.max(axis=0)
+        axes = np.flatnonzero(high > low)
+        if not len(axes):
+            continue
+        best, at = 0, (-1, 0)
+        for cut in np.unique(np.concatenate([low[axes], high[axes] - 1])):
+            upto = (some[:, axes] <= cut).sum(axis=0, dtype=np.int64)
+            even = np.minimum(upto, len(some) - upto)
+            k = int(even.argmax())
+            if even[k] > best:
+                best, at = int(even[k]), (int(axes[k]), int(cut))
+        return at
+    return -1, 0
 
 
 def one_replaced(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -219,27 +264,41 @@ def one_inserted(short: np.ndarray, long: np.ndarray) -> np.ndarray:
     return head + tail >= length
 
 
+def in_order(short: np.ndarray, long: np.ndarray) -> np.ndarray:
+    """Of words with one letter replaced: whether the member's letter is later, by axis and code, so that one of two finds the other."""
+    at = (short != long).argmax(axis=1)
+    rows = np.arange(len(at))
+    a, b = short[rows, at], long[rows, at]
+    return (axis_of(a) < axis_of(b)) | ((axis_of(a) == axis_of(b)) & (a < b))
+
+
 def near_pairs(searches: Spelled, members: Spelled, same_length: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Numbers of searched words and of members that are one edit apart: a replacement, or a letter more in the member."""
+    """Numbers of searched words and of members that are one edit apart, each pair once: a later letter, or a letter more, in the member."""
     if not len(members.codes) or not len(searches.codes):
         return
     tree, place = Tree.fit(members.points, LEAF)
     order = np.argsort(place, kind="stable")
     edges = np.searchsorted(place[order], np.arange(tree.leaves + 1))
-    down, up = (1, 1) if same_length else (0, 1)
+    most = 2 if same_length else 1
     for k in range(0, len(searches.codes), STRIP):
-        rows, leaves = tree.reached(searches.points[k:k + STRIP], down, up)
-        for part in range(0, len(rows), STRIP * 4):
-            r, leaf = rows[part:part + STRIP * 4] + k, leaves[part:part + STRIP * 4]
-            many = edges[leaf + 1] - edges[leaf]
-            a = np.repeat(r, many)
-            b = order[np.repeat(edges[leaf] - (np.cumsum(many) - many), many) + np.arange(many.sum())]
-            steps = members.points[b] - searches.points[a]
-            close = np.abs(steps).sum(axis=1) <= down + up
+        rows, leaves = tree.reached(searches.points[k:k + STRIP], "both" if same_length else "up")
+        many = edges[leaves + 1] - edges[leaves]
+        parts = np.searchsorted(np.cumsum(many), np.arange(PAIRS, many.sum() + PAIRS, PAIRS), side="left") + 1
+        for p, q in zip([0, *parts[:-1]], parts, strict=True):
+            r, leaf, size = rows[p:q] + k, leaves[p:q], many[p:q]
+            a = np.repeat(r, size)
+            b = order[np.repeat(edges[leaf] - (np.cumsum(size) - size), size) + np.arange(size.sum())]
+            # Letters up to the third time differ in as many marks: cheap, and never more than the points do.
+            apart = np.bitwise_count(searches.marks[a, 0] ^ members.marks[b, 0]) + np.bitwise_count(searches.marks[a, 1] ^ members.marks[b, 1])
+            close = apart <= most
             a, b = a[close], b[close]
-            check = one_replaced if same_length else one_inserted
-            verified = check(searches.codes[a], members.codes[b])
-            yield a[verified], b[verified]
+            short, long = searches.codes[a], members.codes[b]
+            verified = one_replaced(short, long) if same_length else one_inserted(short, long)
+            a, b = a[verified], b[verified]
+            if same_length:
+                ordered = in_order(searches.codes[a], members.codes[b])
+                a, b = a[ordered], b[ordered]
+            yield a, b
 
 
 def _by_length(words: list[str]) -> Iterator[tuple[int, np.ndarray]]:
@@ -248,10 +307,10 @@ def _by_length(words: list[str]) -> Iterator[tuple[int, np.ndarray]]:
         yield int(length), np.flatnonzero(lengths == length)
 
 
-def _route(trees: dict[int, Tree], parts: dict[tuple[int, int], int] | None):
+def _route(trees: dict[int, Tree], parts: dict[int, np.ndarray] | None):
     """Rows by length of the members, cell and part: members once, and searches for each cell in reach.
 
-    Without ``parts`` only members' cells are told.
+    ``parts`` tells by length how many parts each cell has. Without it only members' cells are told.
     """
     whole = Tree([-1], [0], [-1], [-1], [0], 1)
 
@@ -260,11 +319,11 @@ def _route(trees: dict[int, Tree], parts: dict[tuple[int, int], int] | None):
             words, counts = batch["word"].to_pylist(), batch["n"]
             for length, at in _by_length(words):
                 points = Spelled.of([words[i] for i in at], length).points
-                for role, (tree_of, down, up) in enumerate(((length, 0, 0), (length, 1, 1), (length + 1, 0, 1))):
-                    if role and parts is None:
+                for role, (tree_of, steps) in enumerate(((length, "none"), (length, "both"), (length + 1, "up"))):
+                    if role and parts is None or parts is not None and tree_of not in parts:
                         continue
-                    rows, cells = trees.get(tree_of, whole).reached(points, down, up)
-                    many = np.array([parts.get((tree_of, int(c)), 0) for c in cells], np.int64) if parts is not None else np.ones(len(cells), np.int64)
+                    rows, cells = trees.get(tree_of, whole).reached(points, steps)
+                    many = np.ones(len(cells), np.int64) if parts is None else parts[tree_of][cells]
                     if role:  # to every part of the cell; to none if it has no members
                         rows, cells = np.repeat(rows, many), np.repeat(cells, many)
                         part = np.arange(len(rows)) - np.repeat(np.cumsum(many) - many, many)
@@ -291,10 +350,8 @@ def _search(table: pa.Table) -> pa.Table:
     for r in (1, 2):
         searches = Spelled.of([words[i] for i in of[r]], length + 1 - r)
         for a, b in near_pairs(searches, members, r == 1):
-            a, b = of[r][a], of[0][b]
-            # Words of one length find each other, those of two lengths only once.
-            left += [a] if r == 1 else [a, b]
-            right += [b] if r == 1 else [b, a]
+            left += [of[r][a], of[0][b]]
+            right += [of[0][b], of[r][a]]
     left, right = np.concatenate(left), np.concatenate(right)
     word = table["word"].combine_chunks()
     return pa.table({"word": word.take(pa.array(left)), "n": pa.array(counts[left]), "near": word.take(pa.array(right)), "near_n": pa.array(counts[right])})
@@ -318,7 +375,10 @@ def near_words(words: DataFrame, options: Options = Options()) -> DataFrame:
     rows = importable(words).select("word", "n")
     sizes = rows.mapInArrow(_route(trees, None), route).groupBy("length", "cell").count()
     # One entry per cell of the bounded trees.
-    parts = {(r["length"], r["cell"]): -(-r["count"] // options.part) for r in sizes.toLocalIterator()}
+    parts: dict[int, np.ndarray] = {}
+    for r in sizes.toLocalIterator():
+        cells = parts.setdefault(r["length"], np.zeros(trees[r["length"]].leaves if r["length"] in trees else 1, np.int64))
+        cells[r["cell"]] = -(-r["count"] // options.part)
     routed = rows.mapInArrow(_route(trees, parts), route)
     return routed.groupBy("length", "cell", "part").applyInArrow(_search, "word string, n long, near string, near_n long")
 

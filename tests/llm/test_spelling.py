@@ -100,7 +100,7 @@ def test_slips_delete_the_named_letter():
     assert 30 < len(hit) < 100
     for i in range(2000):
         h = zlib.crc32(f"{i}:variant".encode())
-        assert S.with_slips(str(i), "variant") == ("variant" if h % 31 else "variant"[:h % 7] + "variant"[h % 7 + 1:])
+        assert S.with_slips(str(i))("variant") == ("variant" if h % 31 else "variant"[:h % 7] + "variant"[h % 7 + 1:])
 
 
 def test_every_near_pair_is_in_reach():
@@ -114,7 +114,13 @@ def test_every_near_pair_is_in_reach():
             searches = list(dict.fromkeys(base))
             pairs = S.near_pairs(S.Spelled.of(searches, length), S.Spelled.of(members, length + d), d == 0)
             got = {(searches[i], members[j]) for a, b in pairs for i, j in zip(a, b, strict=True)}
-            assert got == {(a, b) for a, b in itertools.product(searches, members) if near(a, b)} != set()
+            want = {(a, b) for a, b in itertools.product(searches, members) if near(a, b)}
+            if d == 0:  # each pair is found from one side, if both sides search
+                back = S.near_pairs(S.Spelled.of(members, length), S.Spelled.of(searches, length), True)
+                other_side = {(searches[j], members[i]) for a, b in back for i, j in zip(a, b, strict=True)}
+                assert not got & other_side
+                got |= other_side
+            assert got == want != set()
 
 
 def test_searches_leave_most_cells_out():
@@ -124,7 +130,7 @@ def test_searches_leave_most_cells_out():
     for n in (1_000, 16_000):
         points = S.Spelled.of(["".join(map(chr, row)) for row in rng.integers(97, 123, (n, 9))], 9).points
         tree, _ = S.Tree.fit(points, 20)
-        rows, _ = tree.reached(points[:500], 1, 1)
+        rows, _ = tree.reached(points[:500], "both")
         shares.append(len(rows) / 500 / tree.leaves)
     assert shares[1] < 0.6 * shares[0] < 0.3
 
