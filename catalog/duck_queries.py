@@ -548,4 +548,4 @@ add("consistent_totals", """
 
 
 # The SQL of the other queries, by topic; they use what is above.
-from catalog import duck_timelines  # noqa: E402, F401
+from catalog import duck_timelines, duck_totals  # noqa: E402, F401
