@@ -48,3 +48,11 @@ def importable(df: DataFrame) -> DataFrame:
 def text_rows(docs: DataFrame, *more: str) -> DataFrame:
     """Only what an operator reads: the id, the text and named columns."""
     return importable(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *more)
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """The name, or one like it, that no column of the table has, in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name

@@ -60,7 +60,7 @@ def test_stages_equal_brute_force(spark, tmp_path):
 
 def test_all_are_registered():
     numbers = {int(n[2:].split("_")[0]) for n in driver.queries() if n.startswith("op")}
-    assert numbers == set(range(1, 11)) and "pipeline" in driver.queries()
+    assert numbers == set(range(1, 14)) and "pipeline" in driver.queries()
 
 
 def test_entry_imports_without_the_operators(tmp_path):
