@@ -14,6 +14,7 @@ rows are scanned alike. An empty table gives an empty one.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -174,9 +175,18 @@ class Scanner:
         gated = sorted({i for key, rules in self.by_keyword.items() if key in text for i in rules})
         found = [(-self.rules[i].priority, m.start() - m.end(), m.start(), i, m.end()) for i in gated for m in self.rules[i].pattern.finditer(text)]
         accepted: list[tuple[int, int, str, float]] = []
+        # The accepted spans that no other one contains, in order: both their starts and their ends rise.
+        starts: list[int] = []
+        ends: list[int] = []
         for _, _, start, i, end in sorted(found):
-            if not any(a <= start and end <= b for a, b, _, _ in accepted):
-                accepted.append((start, end, self.rules[i].label, self.rules[i].confidence))
+            before = bisect_right(starts, start)
+            if before and ends[before - 1] >= end:
+                continue
+            accepted.append((start, end, self.rules[i].label, self.rules[i].confidence))
+            low = high = bisect_left(starts, start)
+            while high < len(ends) and ends[high] <= end:
+                high += 1
+            starts[low:high], ends[low:high] = [start], [end]
         return sorted(accepted)
 
     def base_places(self, text: bytes) -> list[tuple[int, str]]:
