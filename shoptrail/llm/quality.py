@@ -8,7 +8,8 @@ as one ordered conditional expression over the statistics.
 Defined cases: a null or empty text has no words and fails the base rules. A
 statistic that divides by zero is 0. Without labels of both kinds no rule is
 learned and the base rules decide. Repeated rows are judged alike. A document
-without id is judged, but never used to learn. An empty table gives an empty one.
+without id is judged, but never used to learn. Extra columns of documents stay
+as they are, whatever their names. An empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -195,7 +196,12 @@ def fit(stats: DataFrame, labels: DataFrame, most_rows: int = 20_000) -> list[Ru
     known = labels.select(F.col("doc_id").alias("known"), F.col("quality").cast("int").alias("quality")).filter("quality in (0, 1)")
     rows = stats.filter(~F.col("base_failed")).join(known, F.col("doc_id") == F.col("known"))
     order = F.xxhash64(F.lit(11), "doc_id")
-    sample = rows.select(*[feature(f).alias(f) for f in FEATURES], "quality", order.alias("order")).orderBy("order", *FEATURES, "quality").limit(most_rows).toPandas()
+    # Equal rows teach once, so that hashes below a limit are as many as the limit says.
+    rows = settle(rows.select(*[feature(f).alias(f) for f in FEATURES], "quality", order.alias("order")).distinct(), "quality-sample")
+    n = rows.count()
+    if n > most_rows:  # some more than wanted pass this limit; only they are ordered
+        rows = rows.filter(F.col("order") < int(-(1 << 63) + (1 << 64) * min(0.999, 1.1 * most_rows / n + 1e-6)))
+    sample = rows.orderBy("order", *FEATURES, "quality").limit(most_rows).toPandas()
     bad = (sample["quality"] == 0).to_numpy()
     if not bad.any() or bad.all():
         return []
@@ -220,19 +226,19 @@ def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     known = labels.select(F.col("doc_id").alias("known"), "quality").filter("quality in (0, 1)")
     marked = text_rows(docs).join(known.select("known").distinct(), F.col("doc_id") == F.col("known"), "left_semi")
     rules = fit(settle(statistics(marked), "quality-labelled"), labels)
-    kept = statistics_beside(docs).withColumn("_rule", rule_column(rules))
-    return kept.filter(~F.col("base_failed") & F.col("_rule").isNull()).select(*docs.columns)
+    rule = rule_column(rules)
+    return statistics_beside(docs).filter(~F.col("base_failed") & rule.isNull()).select("doc.*")
 
 
 def statistics_beside(docs: DataFrame) -> DataFrame:
-    """The documents with the COUNTS and base_failed as added columns; clashing ones must be dropped before."""
-    schema = docs.select("*", *[F.lit(0).cast("long").alias(c) for c in COUNTS]).schema
+    """The documents, each row whole in a column ``doc`` so that no name clashes, with the COUNTS and base_failed."""
+    rows = importable(docs).select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col("text").cast("string").alias("text"))
+    schema = rows.select("doc", *[F.lit(0).cast("long").alias(c) for c in COUNTS]).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in W.chunks(batches):
             found = count(piece["text"])
-            arrays = [*piece.columns, *[pa.array(found[c], pa.int64()) for c in COUNTS]]
-            yield pa.RecordBatch.from_arrays(arrays, [*piece.schema.names, *COUNTS])
+            yield pa.RecordBatch.from_arrays([piece["doc"], *[pa.array(found[c], pa.int64()) for c in COUNTS]], ["doc", *COUNTS])
 
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    return importable(docs).mapInArrow(run, schema).withColumn("base_failed", failed)
+    return rows.mapInArrow(run, schema).withColumn("base_failed", failed)

@@ -53,6 +53,31 @@ def test_rules_learned_and_applied(spark):
     assert none.filter("kept = base_failed").count() == 0
 
 
+def test_quality_keeps_columns_of_any_name(spark):
+    good, bad = [(k, text(k, 80)) for k in range(150)], [(300 + k, " ".join(w + "###" for w in prose(k, 80))) for k in range(60)]
+    docs = documents(spark, good + bad).selectExpr("*", "'mine' as n_words", "'no' as base_failed", "3 as _rule", "4 as doc", "5 as n_lines", "6 as known", "7 as rule", "8 as kept")
+    labels = spark.createDataFrame([(i, int(i < 300), 0) for i, _ in good + bad], "doc_id long, quality int, toxic int")
+    kept = quality.keep_good(docs, labels)
+    assert kept.schema == docs.schema
+    rows = kept.collect()
+    assert {r.doc_id for r in rows} == {i for i, _ in good}
+    assert {(r.n_words, r.base_failed, r._rule, r.doc, r.n_lines, r.known, r.rule, r.kept) for r in rows} == {("mine", "no", 3, 4, 5, 6, 7, 8)}
+    assert {r.doc_id for r in quality.judge(docs, labels).filter("kept").collect()} == {i for i, _ in good}
+
+
+def test_few_labelled_rows_are_ordered_and_fetched(spark, monkeypatch):
+    """The fitting rows are the ones of the smallest hashes, and only little more than are wanted are sorted."""
+    rows = [(k, text(k, 60) if k % 3 else " ".join(w + "##" for w in prose(k, 60))) for k in range(600)]
+    stats = quality.statistics(documents(spark, rows + rows[:100]))
+    labels = spark.createDataFrame([(i, int(i % 3 > 0), 0) for i, _ in rows], "doc_id long, quality int, toxic int")
+    taken = []
+    monkeypatch.setattr(quality, "learn", lambda x, bad, prune: taken.append((len(bad), int(bad.sum()))) or [])
+    for _ in range(2):
+        quality.fit(stats, labels, most_rows=90)
+    quality.fit(stats, labels)
+    assert taken[0] == taken[1] and taken[0][0] <= 90 and taken[0][0] > 60 and taken[2] == (600, 200)
+
+
 def test_rules_are_conjunctions_in_order():
     rng = np.random.default_rng(1)
     x = {"symbols_a_word": rng.random(3000), "upper_share": rng.random(3000)}
@@ -168,3 +193,28 @@ def test_held_out_labels_do_not_count(spark):
 def test_scores_of_no_words():
     model = toxicity.Model(np.array([5], np.uint64), np.array([2.0]), -1.0)
     assert model.scores(pa.array([None, "", "x"])).tolist() == [1 / (1 + np.exp(1.0))] * 3
+
+
+def test_contained_detections_are_left_out_as_by_comparing_all():
+    """Many notices in one text: the same spans as by comparing each with all, in time that follows their number."""
+    import time
+
+    scanner = licenses.Scanner()
+
+    def plain(low):
+        gated = sorted({i for key, rules in scanner.by_keyword.items() if key in low for i in rules})
+        found = sorted((-scanner.rules[i].priority, m.start() - m.end(), m.start(), i, m.end()) for i in gated for m in scanner.rules[i].pattern.finditer(low))
+        accepted = []
+        for _, _, a, i, b in found:
+            if not any(x <= a and b <= y for x, y, _, _ in accepted):
+                accepted.append((a, b, scanner.rules[i].label, scanner.rules[i].confidence))
+        return sorted(accepted)
+
+    notice = b"licensed under the apache license version 2.0, see www.apache.org/licenses/license-2.0. spdx-license-identifier: mit\n gnu general public license version 3 \n"
+    assert scanner.detections(notice * 40) == plain(notice * 40)
+    spent = []
+    for n in (2_000, 8_000):
+        start = time.process_time()
+        assert len(scanner.detections(notice * n)) >= 3 * n
+        spent.append(time.process_time() - start)
+    assert spent[1] < 8 * spent[0]
