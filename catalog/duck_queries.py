@@ -549,4 +549,4 @@ add("consistent_totals", """
 
 # The SQL of the other queries, by topic; they use what is above.
 from catalog import duck_timelines  # noqa: E402, F401 isort: skip
-from catalog import duck_streams, duck_totals  # noqa: E402, F401
+from catalog import duck_streams, duck_texts, duck_totals  # noqa: E402, F401

@@ -839,4 +839,4 @@ query("consistent_totals")(lambda feed: q.consistent_totals(
 
 
 # The other registered queries, by topic; they use what is above.
-from catalog import spark_streams, spark_timelines, spark_totals  # noqa: E402, F401
+from catalog import spark_feeds, spark_streams, spark_timelines, spark_totals  # noqa: E402, F401
