@@ -12,14 +12,22 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# The slice of views without a time, before all others, as in an ascending sort.
+# The slices of views without a time come before all others, as in an ascending sort.
 _NO_TIME = -(1 << 62)
 _ADDED = ("next_page_ts", "previous_page_location", "page_number_in_session", "total_pages_in_session")
 
 
+def _untimed_slice(views: DataFrame, tie: str) -> Column:
+    """Views without a time are ordered by the tie alone: by its first two bytes they fall into slices in that order."""
+    if dict(views.dtypes)[tie] != "string":
+        return F.lit(_NO_TIME)
+    lead = F.rpad(F.hex(F.substring(F.col(tie).cast("binary"), 1, 2)), 4, "0")
+    return F.lit(_NO_TIME) + F.coalesce(F.conv(lead, 16, 10).cast("long") + 1, F.lit(0))
+
+
 def page_flow(
     views: DataFrame,
     keys: Sequence[str] = ("source", "user_fk", "ga_session_id"),
@@ -35,34 +43,31 @@ def page_flow(
     """
     # A struct of the keys is never NULL itself, and equal structs may hold NULLs: a plain
     # equality joins them, on the partitioning that the window has already.
-    sliced = views.withColumns({
-        "_group": F.struct(*keys),
-        "_slice": F.coalesce(F.floor(F.unix_micros(F.col(ts).cast("timestamp")) / (slice_seconds * 1_000_000)).cast("long"), F.lit(_NO_TIME)),
-    })
-    here = Window.partitionBy("_group", "_slice")
-    ordered = here.orderBy(ts, tie)
-    local = sliced.withColumns({
-        "_next": F.lead(ts).over(ordered),
-        "_previous": F.lag(place).over(ordered),
-        "_number": F.row_number().over(ordered),
-        "_count": F.count(F.lit(1)).over(here),
-    })
-    first, last = F.col("_number") == 1, F.col("_number") == F.col("_count")
-    ends = local.groupBy("_group", "_slice").agg(
-        F.count(F.lit(1)).alias("_size"),
-        F.max(F.when(first, F.col(ts))).alias("_first_ts"),
-        F.max(F.when(last, F.col(place))).alias("_last_place"),
+    hour = F.floor(F.unix_micros(F.col(ts).cast("timestamp")) / (slice_seconds * 1_000_000)).cast("long")
+    sliced = views.withColumns({"_group": F.struct(*keys), "_slice": F.coalesce(hour, _untimed_slice(views, tie))})
+    # The ends of each slice, one small row each, straight from the input: combined before their shuffle.
+    place_in_order = F.struct(F.col(ts).alias("at"), F.col(tie).alias("tie"), F.col(place).alias("place"))
+    ends = sliced.select("_group", "_slice", place_in_order.alias("_view")).groupBy("_group", "_slice").agg(
+        F.count(F.lit(1)).alias("_size"), F.min("_view")["at"].alias("_first_ts"), F.max("_view")["place"].alias("_last_place")
     )
     across = Window.partitionBy("_group").orderBy("_slice")
     stitched = ends.select(
         F.col("_group").alias("_g"),
         F.col("_slice").alias("_s"),
+        "_size",
         F.coalesce(F.sum("_size").over(across.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"),
         F.sum("_size").over(Window.partitionBy("_group")).alias("_total"),
         F.lead("_first_ts").over(across).alias("_slice_next"),
         F.lag("_last_place").over(across).alias("_slice_previous"),
     )
-    joined = local.join(stitched, (F.col("_group") == F.col("_g")) & (F.col("_slice") == F.col("_s")))
+    # Joined before the window: rows are shuffled once, by group and slice, and the window finds them so.
+    ordered = Window.partitionBy("_group", "_slice").orderBy(ts, tie)
+    joined = sliced.join(stitched, (F.col("_group") == F.col("_g")) & (F.col("_slice") == F.col("_s"))).withColumns({
+        "_next": F.lead(ts).over(ordered),
+        "_previous": F.lag(place).over(ordered),
+        "_number": F.row_number().over(ordered),
+    })
+    first, last = F.col("_number") == 1, F.col("_number") == F.col("_size")
     values = (
         F.when(last, F.col("_slice_next")).otherwise(F.col("_next")),
         F.when(first, F.col("_slice_previous")).otherwise(F.col("_previous")),

@@ -129,3 +129,38 @@ def test_a_cluster_must_name_its_shared_folder():
         work_root(_Unnamed("spark://host:7077"))
     local = _Unnamed("local[2]")
     assert work_root(local) == work_root(local)
+
+
+def test_page_flow_shuffles_its_rows_once(spark):
+    """One exchange and one window pass over whole rows; the other scan feeds small rows per slice."""
+    from shoptrail.operators.flow import page_flow
+
+    path = work_path(spark, "views")
+    spark.range(2000).selectExpr(
+        "'x' as source", "cast(id % 7 as string) as user_fk", "cast(id % 50 as string) as ga_session_id", "timestamp_seconds(id * 60) as pageview_ts",
+        "cast(id as string) as pageview_pk", "'p' as page_location", "repeat('wide', 9) as wide",
+    ).write.parquet(path)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(page_flow(spark.read.parquet(path)))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    scans = [line for line in text.split("\n") if "FileScan" in line]
+    assert [("wide" in line) for line in scans].count(True) == 1
+    assert sum("row_number()" in line and "Window" in line for line in text.split("\n")) == 1
+    # From the window down to the join that brings the slices' values no row is shuffled again.
+    below = text[text.index("row_number()"):]
+    assert below.index("Join") < below.index("Exchange")
+
+
+def test_untimed_views_are_spread_by_their_key(spark):
+    from pyspark.sql import functions as F
+
+    from shoptrail.operators.flow import _untimed_slice
+
+    keys = ["", "0", "0a", "0ab", "0b", "f", "ff", "é", None]
+    df = spark.createDataFrame([(k,) for k in keys], "k string")
+    got = [r[0] for r in df.orderBy("k").select(_untimed_slice(df, "k")).collect()]
+    assert got == sorted(got) and len(set(got)) == 8
+    assert df.select(F.max(_untimed_slice(df, "k"))).first()[0] < 0
