@@ -135,6 +135,14 @@ def purchase_fct(purchases: DataFrame, sessions: DataFrame) -> DataFrame:
     return timed_purchases(purchases, first_visits(sessions))
 
 
+def since_first_visit(rows: DataFrame, ts: str) -> DataFrame:
+    """Hours and days from ``first_session_ts`` to the purchase."""
+    return rows.withColumns({
+        "hours_to_purchase_from_first_visit": whole_units("HOUR", "first_session_ts", ts),
+        "days_to_purchase_from_first_visit": whole_units("DAY", "first_session_ts", ts),
+    })
+
+
 def timed_purchases(purchases: DataFrame, visits: DataFrame) -> DataFrame:
     """FCT-5: one row per bought item, with the time since the first visit.
 
@@ -148,12 +156,11 @@ def timed_purchases(purchases: DataFrame, visits: DataFrame) -> DataFrame:
     """
     timed = purchases.join(visits, "user_fk", "left")
     usd, quantity = F.col("item_revenue_in_usd"), F.col("quantity")
-    return one_row_per_item(timed).select(
+    return since_first_visit(one_row_per_item(timed), "event_ts").select(
         _item_key("purchase_pk"),
         "source", "user_fk", "event_date", "ga_session_id", "transaction_id",
         F.col("event_ts").alias("purchase_ts"),
-        whole_units("HOUR", "first_session_ts", "event_ts").alias("hours_to_purchase_from_first_visit"),
-        whole_units("DAY", "first_session_ts", "event_ts").alias("days_to_purchase_from_first_visit"),
+        "hours_to_purchase_from_first_visit", "days_to_purchase_from_first_visit",
         F.hour("event_ts").cast("bigint").alias("purchase_hour_of_day"),
         F.dayofweek("event_ts").cast("bigint").alias("purchase_day_of_week"),
         "purchase_revenue_in_usd", "purchase_revenue", "tax_value_in_usd", "shipping_value_in_usd",

@@ -9,7 +9,8 @@ replaces the published one, so a failed run leaves the old data in place.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Collection, Sequence
+from collections.abc import Callable, Collection, Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 from functools import partial
 
@@ -50,6 +51,8 @@ class Run:
     options: Options
     warn_only: Collection[str] = ()
     results: list = field(default_factory=list)
+    used: list[str] = field(default_factory=list)
+    known_marks: dict[tuple[str, str], dict] = field(default_factory=dict)
 
     @property
     def incremental(self) -> bool:
@@ -69,11 +72,28 @@ class Run:
         results = results.withColumn("status", F.when(excused, "warn").otherwise(F.col("status")))
         self.results += quality.gate(results)
 
-    def written(self, df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    @contextmanager
+    def work_files(self) -> Iterator[None]:
+        """What is written to the work folder inside goes at its end, also if a test fails."""
+        before, self.used = self.used, []
+        try:
+            yield
+        finally:
+            tables.remove(self.spark, self.used)
+            self.used = before
+
+    def written(self, df: DataFrame, name: str) -> DataFrame:
         """``df`` as a written copy: computed once, and safe from lost executors."""
         path = work_path(self.spark, name)
+        self.used.append(path)
         df.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path), path
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def marks(self, layer: str, name: str) -> dict[str | None, dt.date]:
+        """A table's marks before this run's load of it, read once."""
+        if (layer, name) not in self.known_marks:
+            self.known_marks[layer, name] = up.high_water_marks(self.table(layer, name))
+        return self.known_marks[layer, name]
 
     def publish(
         self,
@@ -89,21 +109,19 @@ class Run:
         """Test ``new`` in the work folder, then publish it (SNK-5, DQ-14)."""
         path = self.path(layer, name)
         target = self.table(layer, name) if self.incremental else None
-        fresh, fresh_path = self.written(new, name)
-        used = [fresh_path]
-        if target is None:
-            self.test(name, fresh, tests)
-            tables.write_days(fresh, path, cluster)
-        else:
+        with self.work_files():
+            fresh = self.written(new, name)
+            if target is None:
+                self.test(name, fresh, tests)
+                tables.write_days(fresh, path, cluster)
+                return
             merge = up.merge_by_key(target, fresh, keys, key_fixes_day, replaced)
             if merge.days:
-                merged, merged_path = self.written(merge.rows, name)
-                used.append(merged_path)
+                merged = self.written(merge.rows, name)
                 self.test(name, merged, tests)
                 left = {row[0] for row in merged.select(tables.DAY).distinct().collect()}
                 tables.replace_days(merged, path, cluster)
                 tables.remove_days(self.spark, path, set(merge.days) - left)
-        tables.remove(self.spark, used)
 
     def news(self, layer: str, name: str, rows: DataFrame, last_day: Column | None = None) -> tuple[DataFrame, Column | None]:
         """The rows to load into a table, and the target rows they replace.
@@ -112,7 +130,7 @@ class Run:
         """
         if not self.incremental:
             return rows, None
-        marks = up.high_water_marks(self.table(layer, name))
+        marks = self.marks(layer, name)
         compared = rows
         if last_day is not None:
             compared = rows.withColumns({"_own_day": F.col(tables.DAY), tables.DAY: last_day})
@@ -220,45 +238,67 @@ def load_pageviews(run: Run, pageviews: DataFrame) -> None:
     news, replaced = run.news("warehouse", "pageview_fct", pageviews)
     rows = facts.pageview_rows(news, run.options)
     target = run.table("warehouse", "pageview_fct") if run.incremental else None
-    used = []
-    if target is not None:
-        rows, path = run.written(rows, "pageview_rows")
-        used.append(path)
-        kept, changed = target, rows.select(*groups)
-        if replaced is not None:
-            kept = target.filter(~F.coalesce(replaced, F.lit(False)))
-            changed = changed.unionByName(target.filter(replaced).select(*groups))
-        again = up.rows_of_groups(kept, changed, groups).select(*rows.columns)
-        new_keys = rows.select("pageview_pk")
-        again = again.join(new_keys, "pageview_pk", "left_anti")
-        rows, path = run.written(rows.unionByName(again), "pageview_rows")
-        used.append(path)
-    run.publish(
-        "warehouse", "pageview_fct", facts.with_flow(rows), ["pageview_pk"],
-        replaced=replaced, tests=_tests("pageview_fct"),
-    )
-    tables.remove(run.spark, used)
+    with run.work_files():
+        if target is not None:
+            rows = run.written(rows, "pageview_rows")
+            kept, changed = target, rows.select(*groups)
+            if replaced is not None:
+                kept = target.filter(~F.coalesce(replaced, F.lit(False)))
+                changed = changed.unionByName(target.filter(replaced).select(*groups))
+            again = up.rows_of_groups(kept, changed, groups).select(*rows.columns)
+            new_keys = rows.select("pageview_pk")
+            again = again.join(new_keys, "pageview_pk", "left_anti")
+            rows = run.written(rows.unionByName(again), "pageview_rows")
+        run.publish(
+            "warehouse", "pageview_fct", facts.with_flow(rows), ["pageview_pk"],
+            replaced=replaced, tests=_tests("pageview_fct"),
+        )
+
+
+def _session_load(run: Run) -> tuple[list[str], Column | None]:
+    """The key of a session row, and the day it is compared by."""
+    if run.options.session_grain == "date":
+        return ["source", "event_date", "user_fk", "ga_session_id"], None
+    # A whole session has its first day but goes on; a feed's own day may be one ahead of the time's.
+    return ["source", "user_fk", "ga_session_id"], F.greatest(F.col(tables.DAY), F.date_add(F.to_date("session_end_ts"), 1))
+
+
+def load_purchases(run: Run, purchases: DataFrame, before: DataFrame | None, visits: DataFrame) -> None:
+    """Purchases with the time since the user's first visit, in a run's written tables of users and first visits.
+
+    If a source that lags behind has brought an earlier first visit than the one known ``before``, the user's
+    purchases loaded earlier are written again with it, so that loads in parts give what one load gives.
+    """
+    target = run.table("warehouse", "purchase_fct") if run.incremental else None
+
+    def build(rows: DataFrame) -> DataFrame:
+        new = facts.timed_purchases(rows, visits)
+        if before is None or target is None:
+            return new
+        known = before.select(F.col("user_fk").alias("_user"), F.col("first_session_ts").alias("_before"))
+        moved = visits.join(known, F.col("user_fk") == F.col("_user"), "left").filter(F.col("_before").isNull() | (F.col("first_session_ts") < F.col("_before")))
+        moved = run.written(moved.select(F.col("user_fk").alias("_moved"), "first_session_ts"), "moved_visits")
+        if moved.isEmpty():
+            return new
+        held = target.join(moved, F.col("user_fk") == F.col("_moved")).join(new.select("purchase_pk"), "purchase_pk", "left_anti")
+        return new.unionByName(facts.since_first_visit(held, "purchase_ts").select(*new.columns))
+
+    _load(run, "purchase_fct", purchases, build, ["purchase_pk"], cluster=("user_fk", "transaction_id"))
 
 
 def load_facts(run: Run, staged: dict[str, DataFrame], unified: dict[str, DataFrame]) -> None:
-    session_key, last_day = ["source", "event_date", "user_fk", "ga_session_id"], None
-    if run.options.session_grain != "date":
-        # A whole session has its first day but goes on; a feed's own day may be one ahead of the time's.
-        session_key = ["source", "user_fk", "ga_session_id"]
-        last_day = F.greatest(F.col(tables.DAY), F.date_add(F.to_date("session_end_ts"), 1))
-    _load(run, "session_fct", unified["int__session"], facts.session_fct, session_key, last_day)
-    sessions = run.table("warehouse", "session_fct")
-    if sessions is None:  # a run without sessions, for example of friction events alone
-        sessions = facts.session_fct(unified["int__session"].limit(0))
-    load_pageviews(run, unified["int__pageview"])
-    _load(run, "product_view_fct", unified["int__product_view"], facts.product_view_fct, ["product_view_pk"])
-    _load(run, "add_to_cart_fct", unified["int__add_to_cart"], facts.add_to_cart_fct, ["add_to_cart_pk"])
-    visits, visits_path = run.written(facts.first_visits(sessions), "first_visits")
-    _load(
-        run, "purchase_fct", unified["int__purchase"], lambda rows: facts.timed_purchases(rows, visits),
-        ["purchase_pk"], cluster=("user_fk", "transaction_id"),
-    )
-    tables.remove(run.spark, [visits_path])
+    session_key, last_day = _session_load(run)
+    held = run.table("warehouse", "session_fct") if run.incremental else None
+    with run.work_files():
+        before = None if held is None else run.written(facts.first_visits(held), "visits_before")
+        _load(run, "session_fct", unified["int__session"], facts.session_fct, session_key, last_day)
+        sessions = run.table("warehouse", "session_fct")
+        if sessions is None:  # a run without sessions, for example of friction events alone
+            sessions = facts.session_fct(unified["int__session"].limit(0))
+        load_pageviews(run, unified["int__pageview"])
+        _load(run, "product_view_fct", unified["int__product_view"], facts.product_view_fct, ["product_view_pk"])
+        _load(run, "add_to_cart_fct", unified["int__add_to_cart"], facts.add_to_cart_fct, ["add_to_cart_pk"])
+        load_purchases(run, unified["int__purchase"], before, run.written(facts.first_visits(sessions), "first_visits"))
     events = staged.get("stg_ga4__event", staged.get("stg_snowplow__event"))
     if events is not None:
         _load(run, "conversion_funnel_fct", events, facts.conversion_funnel_fct, ["funnel_pk"],
@@ -276,10 +316,10 @@ def load_facts(run: Run, staged: dict[str, DataFrame], unified: dict[str, DataFr
     for name, (stage, build, key) in friction.items():
         if stage in staged:
             _load(run, name, staged[stage], build, [key])
-    users, path = run.written(facts.user_dim(sessions, run.options), "user_dim")
-    run.test("user_dim", users, _tests("user_dim"))
-    tables.write_whole(users, run.path("warehouse", "user_dim"))
-    tables.remove(run.spark, [path])
+    with run.work_files():
+        users = run.written(facts.user_dim(sessions, run.options), "user_dim")
+        run.test("user_dim", users, _tests("user_dim"))
+        tables.write_whole(users, run.path("warehouse", "user_dim"))
 
 
 FACTS = (
@@ -289,6 +329,12 @@ FACTS = (
 )
 
 
+_FACT_OF = {
+    "int__session": "session_fct", "int__pageview": "pageview_fct", "int__add_to_cart": "add_to_cart_fct",
+    "int__purchase": "purchase_fct", "int__product_view": "product_view_fct",
+}
+
+
 def published(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     """The fact tables below ``root``."""
     found = {name: tables.read_table(spark, tables.table_path(root, "warehouse", name)) for name in FACTS}
@@ -312,10 +358,15 @@ def run_all(
         # All others were tested before they were published.
         if name in staged and name == "stg_contentsquare__session":
             run.test(name, _recent(run, staged[name]), checks.declared_checks(name))
-    unified = integrate(run, staged)
-    for name, df in unified.items():
-        run.test(name, _recent(run, df), checks.declared_checks(name))
-    load_facts(run, staged, unified)
+    with run.work_files():
+        unified = {}
+        for name, df in integrate(run, staged).items():
+            # What the fact will load, written once: the declared tests and the fact both read that copy.
+            last_day = _session_load(run)[1] if name == "int__session" else None
+            fresh, _ = run.news("warehouse", _FACT_OF[name], df, last_day)
+            unified[name] = run.written(fresh, name)
+            run.test(name, unified[name], checks.declared_checks(name))
+        load_facts(run, staged, unified)
     marts.register_marts(published(spark, root))
     return run
 
@@ -324,7 +375,7 @@ def _recent(run: Run, df: DataFrame) -> DataFrame:
     """The rows an incremental run is about: those after the session marks."""
     if not run.incremental:
         return df
-    marks = up.high_water_marks(run.table("warehouse", "session_fct"))
+    marks = run.marks("warehouse", "session_fct")
     if "source" not in df.columns:
         mark = marks.get(CONTENTSQUARE)
         marks = {} if mark is None else {None: mark}

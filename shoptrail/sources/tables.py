@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+import uuid
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -40,8 +41,7 @@ def _laid_out(df: DataFrame, cluster: Sequence[str]) -> DataFrame:
 
 def write_days(df: DataFrame, path: str, cluster: Sequence[str] = ()) -> None:
     """Write the whole table anew, one folder per day (SNK-2, SNK-3)."""
-    # Static, whatever the session's setting: days that are gone must go.
-    _laid_out(df, cluster).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(DAY).parquet(path)
+    _swap(df.sparkSession, path, lambda beside: _laid_out(df, cluster).write.partitionBy(DAY).parquet(beside))
 
 
 def replace_days(df: DataFrame, path: str, cluster: Sequence[str] = ()) -> None:
@@ -55,7 +55,34 @@ def replace_days(df: DataFrame, path: str, cluster: Sequence[str] = ()) -> None:
 
 def write_whole(df: DataFrame, path: str) -> None:
     """Full rebuild of a table without days, such as the user dimension (SNK-2)."""
-    df.write.mode("overwrite").parquet(path)
+    _swap(df.sparkSession, path, lambda beside: df.write.parquet(beside))
+
+
+def _swap(spark: SparkSession, path: str, write: Callable[[str], None]) -> None:
+    """Write beside the table, then take its name: the old content is deleted last.
+
+    A run that dies while writing leaves the table as it was, one that dies between the two renames
+    leaves the old content beside it, under a name that tells so.
+    """
+    mark = uuid.uuid4().hex
+    beside, old = f"{path}__new_{mark}", f"{path}__old_{mark}"
+    try:
+        write(beside)
+    except BaseException:
+        remove(spark, [beside])
+        raise
+    source, live, aside = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (beside, path, old))
+    files = live.getFileSystem(spark._jsc.hadoopConfiguration())
+    there = files.exists(live)
+    if there and not files.rename(live, aside):
+        raise OSError(f"cannot move {path} aside")
+    if not files.rename(source, live):
+        if there:
+            files.rename(aside, live)
+        raise OSError(f"cannot publish {path}")
+    if there:
+        files.delete(aside, True)
+    spark.catalog.refreshByPath(path)
 
 
 def remove(spark: SparkSession, paths: Iterable[str]) -> None:

@@ -189,6 +189,52 @@ def test_events_delivered_again_count_once(spark):
         run_all(spark, feeds, work_path(spark, "copies"), options=Options(drop_copies=False))
 
 
+def test_an_earlier_first_visit_that_comes_later_is_repaired(spark):
+    """A source that lags behind brings a visit before the known first one: loads in parts give the full run."""
+    items = [{"item_id": "i", "price": 2.0, "quantity": 1, "item_revenue_in_usd": 2.0}]
+    web = []
+    for user in ("u1", "u2"):
+        web += [ga4(user, "2024-01-10 10:00:00", "page_view", 1, 0), ga4(user, "2024-01-10 12:00:00", "purchase", 1, 1, items=items, ecommerce={"purchase_revenue_in_usd": 2.0})]
+    app = [snowplow("e1", "u1", "2024-01-05 09:30:00", "page_view", "s1")]
+    root, whole = work_path(spark, "lag"), work_path(spark, "whole")
+    parts = (Feeds(ga4=ga4_frame(spark, web)), Feeds(ga4=ga4_frame(spark, web), snowplow=snowplow_frame(spark, app)))
+    for feeds in parts:
+        run_all(spark, feeds, root, "incremental", Options(as_of=AS_OF), NULL_SESSIONS)
+    run_all(spark, parts[-1], whole, options=Options(as_of=AS_OF), warn_only=NULL_SESSIONS)
+    got = published(spark, root)["purchase_fct"]
+    assert {r.user_fk: r.hours_to_purchase_from_first_visit for r in got.collect()} == {"u1": 122, "u2": 2}
+    same_rows(got, published(spark, whole)["purchase_fct"])
+
+
+def test_a_table_is_there_until_the_new_one_is_written(spark, tmp_path):
+    """A rebuild that fails leaves the old content; one that succeeds leaves nothing beside it."""
+    path = f"file://{tmp_path}/warehouse/t"
+    for write in (tables.write_whole, tables.write_days):
+        write(day_frame(spark, [(D[0], "old", 1), (D[1], "old", 1)]), path)
+        with pytest.raises(Exception, match="divide|DIVIDE|zero"):
+            write(day_frame(spark, [(D[0], "new", 0)]).withColumn("value", F.expr("cast(1 / value as int)")), path)
+        assert {r.key for r in tables.read_table(spark, path).collect()} == {"old"}
+        write(day_frame(spark, [(D[2], "new", 2)]), path)
+        assert {(r.event_date, r.key) for r in tables.read_table(spark, path).collect()} == {(D[2], "new")}
+    assert [p.name for p in (tmp_path / "warehouse").iterdir()] == ["t"]
+
+
+def test_work_files_go_when_a_test_fails(spark, tmp_path):
+    spark_root = f"{tmp_path}/tables"
+    run = Run(spark, spark_root, "full", Options())
+    paths = []
+    with pytest.raises(RuntimeError), run.work_files():
+        kept = run.written(day_frame(spark, [(D[0], "x", 1)]), "kept")
+        with run.work_files():
+            run.written(day_frame(spark, [(D[0], "y", 1)]), "inner")
+            paths += run.used
+        assert kept.count() == 1  # what the inner step wrote is gone, this is not
+        paths += run.used
+        raise RuntimeError
+    assert len(paths) == 2 and run.used == []
+    assert [tables.read_table(spark, path) for path in paths] == [None, None]
+
+
 def test_failed_tests_leave_the_old_table(spark):
     root = work_path(spark, "gate")
     run_all(spark, late_feeds(spark, False), root, options=Options(as_of=AS_OF))
