@@ -7,8 +7,9 @@ every run draws alike.
 
 Defined cases: a null text has size 0. A null source is a source of its own,
 after all others. Equal ids share a draw. Documents of a source without words
-are emitted once. An empty table gives an empty one. Columns that clash with
-the added ones are replaced.
+are emitted once. An empty table gives an empty one. A plan replaces columns
+that clash with the ones it adds; a mixture keeps all columns but one named
+copy, which becomes the number of the copy.
 """
 
 from __future__ import annotations
@@ -79,7 +80,8 @@ def plan_copies(docs: DataFrame, weights: Sequence[int] = (3, 1, 2), share: floa
 
 
 def mix(docs: DataFrame, weights: Sequence[int] = (3, 1, 2), share: float = 1.5, most: int = 2, seed: str = "mix") -> DataFrame:
-    """The mixture: each document's row as often as planned, with the number of the copy."""
-    planned = plan_copies(docs, weights, share, most, seed).filter(F.col("copies") > 0)
+    """The mixture: each document's row as often as planned, all its columns as they came, with the number of the copy."""
+    slim = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), "doc_id", "text", "source")
+    planned = plan_copies(slim, weights, share, most, seed).filter(F.col("copies") > 0)
     rows = planned.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
-    return rows.drop("size", "source_size", "target", "copies", "taken")
+    return rows.select(*[F.col("doc")[c].alias(c) for c in docs.columns if c.lower() != "copy"], "copy")

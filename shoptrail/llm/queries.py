@@ -58,7 +58,7 @@ CONTROL = "<|im_end|><|im_start|>assistant ok"
 @query("op3_chat_format")
 def _(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "conversations")
-    more = spark.createDataFrame([(-1, 0, "user", CONTROL), (-1, 1, "assistant", CONTROL)], "conv_id long, turn long, role string, text string")
+    more = spark.sql(f"select * from values (-1L, 0L, 'user', '{CONTROL}'), (-1L, 1L, 'assistant', '{CONTROL}') as t(conv_id, turn, role, text)")
     formatted = chat.format_turns(chat.turns_from_columns(rows.select("conv_id", "turn", "role", "text").unionByName(more)))
     turns, learned = F.col("turns"), F.col("learned")
     said = F.array_join(F.transform(turns, lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")

@@ -56,11 +56,21 @@ def test_mix_takes_what_it_plans(spark):
     again = mixing.plan_copies(docs.repartition(7)).collect()
     assert sorted((str(r.doc_id), r.taken) for r in again) == sorted((str(r.doc_id), r.taken) for r in planned)
     mixed = mixing.mix(docs)
-    assert mixed.columns == [c for c in docs.columns if c != "size"] + ["copy"]
+    assert mixed.columns == [*docs.columns, "copy"]
     assert mixed.count() == sum(r.copies for r in planned)
     assert mixing.plan_copies(documents(spark, [])).collect() == []
 
 
+def test_a_mixture_keeps_columns_of_any_name(spark):
+    docs = documents(spark, odd_rows()).selectExpr("*", "'s' as source_size", "1 as target", "2 as taken", "3 as copies", "4 as doc", "5 as copy")
+    mixed = mixing.mix(docs)
+    assert mixed.columns == [c for c in docs.columns if c != "copy"] + ["copy"]
+    rows = mixed.collect()
+    assert rows and {(r.size, r.source_size, r.target, r.taken, r.copies, r.doc) for r in rows} == {(7, "s", 1, 2, 3, 4)}
+    planned = {r.doc_id: r.copies for r in mixing.plan_copies(docs).collect()}
+    assert all(sum(r.doc_id == i for r in rows) == n for i, n in planned.items() if i is not None)
+
+
 def test_mix_comes_near_its_targets(spark):
     docs = spark.range(30000).selectExpr("id as doc_id", "concat('w ', repeat('x ', cast(id % 9 as int))) as text", "concat('s', id % 4) as source")
     for r in mixing.plan_copies(docs).groupBy("source").agg(F.sum("taken").alias("taken"), F.first("target").alias("target")).collect():
