@@ -3,6 +3,14 @@
 Each stage works on all that the one before it kept, is written as Parquet and
 read again. All but the last return the columns of ``documents``; the last
 adds the number of the copy.
+
+Defined cases: a null or empty text, or one of under 50 words, fails the first
+stage's base rules and goes. Documents without id pass the line and near-copy
+stages as they are. Of near copies the smallest id stays; rows that share an id
+are one document and must repeat its text. Very long texts are read whole. Extra
+columns pass all stages as they are, whatever their names, but for n_lines,
+n_dropped and n_words_dropped, which line dedup uses, and copy, which the last
+stage sets. Empty tables give an empty mixture.
 """
 
 from __future__ import annotations
