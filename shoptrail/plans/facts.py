@@ -254,7 +254,7 @@ def api_error_fct(errors: DataFrame) -> DataFrame:
     """FCT-12."""
     return errors.select(
         *_signal_head("api_error_pk", "error_ts"),
-        *[f"api_error_{part}" for part in ("duration", "endpoint", "method", "status_code")],
+        "api_error_duration", "api_error_endpoint", "api_error_method", "api_error_status_code",
         *_ERROR, *_SIGNAL_DEVICE, "library",
     )
 

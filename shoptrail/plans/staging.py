@@ -306,7 +306,7 @@ def stage_cs_js_error(errors: DataFrame) -> DataFrame:
 def stage_cs_api_error(errors: DataFrame) -> DataFrame:
     """STG-9: failed calls with endpoint, method and status."""
     return _cs_signal(errors, "api_error", [
-        *[f"api_error_{part}" for part in ("duration", "endpoint", "method", "status_code")],
+        "api_error_duration", "api_error_endpoint", "api_error_method", "api_error_status_code",
         "errors_after_clicks", "error_group_id", "error_source",
     ])
 
