@@ -11,9 +11,9 @@ def _money(column: str) -> str:
 
 
 add("revenue_exact", f"""
-  select source, date_trunc('month', event_date)::date as month, count(*) as items, sum({_money("item_revenue")}) as revenue,
-    sum({_money("item_revenue_in_usd")}) as revenue_usd, sum(cast({_money("price")} * cast(quantity as decimal(10,0)) as decimal(38,9))) as value,
-    max({_money("item_revenue")}) as largest_revenue
+  select source, date_trunc('month', event_date)::date as month, count(*) as items, sum({_money("item_revenue")})::varchar as revenue,
+    sum({_money("item_revenue_in_usd")})::varchar as revenue_usd,
+    sum(cast({_money("price")} * cast(quantity as decimal(10,0)) as decimal(38,9)))::varchar as value, max({_money("item_revenue")})::varchar as largest_revenue
   from purchase_rows group by 1, 2""", "purchase_fct")
 
 add("props_variant", """

@@ -27,9 +27,10 @@ def _(feed: Feed) -> DataFrame:
         "source", F.trunc("event_date", "month").alias("month"), money("item_revenue").alias("revenue"),
         money("item_revenue_in_usd").alias("revenue_usd"), (price * quantity).try_cast("decimal(38,9)").alias("value"),
     )
+    # All digits as text: no reader of the result turns them into doubles again.
     return rows.groupBy("source", "month").agg(
-        F.count(F.lit(1)).alias("items"), *[money_sum(c).alias(c) for c in ("revenue", "revenue_usd", "value")],
-        F.max("revenue").alias("largest_revenue"),
+        F.count(F.lit(1)).alias("items"), *[money_sum(c).cast("string").alias(c) for c in ("revenue", "revenue_usd", "value")],
+        F.max("revenue").cast("string").alias("largest_revenue"),
     )
 
 

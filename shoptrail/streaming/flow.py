@@ -14,7 +14,7 @@ from collections.abc import Iterator
 from typing import Any
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
@@ -25,6 +25,7 @@ OUTPUT = (
     " kind string, next_page_ts timestamp_ntz, previous_page_location string, page_number_in_session long, total_pages_in_session long"
 )
 _NAMES = [part.split()[0] for part in OUTPUT.split(", ")]
+PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -100,13 +101,13 @@ def page_flow_stream(views: DataFrame, delay: str = "1 hour", idle: dt.timedelta
 
 def write_flow(flow: DataFrame, target: str, progress: str) -> StreamingQuery:
     """Append to ``target``, one folder for each kind and batch: a batch that is run again replaces its own folder."""
-    use_rocksdb(flow.sparkSession)
-
     def write(rows: DataFrame, batch: int) -> None:
         rows.withColumn("batch", F.lit(batch)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("kind", "batch").parquet(target)
 
-    return flow.writeStream.foreachBatch(write).option("checkpointLocation", progress).trigger(availableNow=True).start()
-
-
-def use_rocksdb(spark: SparkSession) -> None:
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    conf = flow.sparkSession.conf
+    before = conf.get(PROVIDER)
+    conf.set(PROVIDER, ROCKSDB)
+    try:  # a stream keeps the settings it was started with
+        return flow.writeStream.foreachBatch(write).option("checkpointLocation", progress).trigger(availableNow=True).start()
+    finally:
+        conf.set(PROVIDER, before)
