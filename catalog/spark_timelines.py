@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from catalog.spark_queries import Feed, query
 from shoptrail.plans import journeys
