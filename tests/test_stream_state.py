@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import random
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from shoptrail.operators.flow import page_flow
@@ -96,3 +97,70 @@ def test_outer_rows_come_out_once_and_bounds_hold(spark):
     got = [r for r in join_batches(spark, parts) if r[0] != "end"]
     assert got == [("p1", "c1"), ("p1", "c2"), ("p2", "c4"), ("p3", "c2"), ("p3", "c5"), ("p4", None)]
 
+
+
+# ------------------------------------------------------------- calls per bucket
+def test_state_is_called_per_bucket_and_not_per_session(spark):
+    """Sessions of one bucket share its calls, its timer and its state; users may be NULL."""
+    views = [view(None if n % 3 == 0 else f"u{n % 5}", f"s{n % 200}", n // 200 * 10, n) for n in range(1000)]
+    seen = []
+
+    class Handle:
+        def getListState(self, name, schema):
+            return Held()
+
+        getValueState = getListState
+
+        def registerTimer(self, at):
+            seen.append(at)
+
+        def deleteTimer(self, at):
+            seen.remove(at)
+
+    class Held:
+        def __init__(self):
+            self.values = []
+
+        def exists(self):
+            return bool(self.values)
+
+        def get(self):
+            return self.values if self.is_list else self.values[0]
+
+        is_list = False
+
+        def appendValue(self, value):
+            self.is_list = True
+            self.values.append(value)
+
+        def put(self, values):
+            self.values = list(values)
+
+        def update(self, value):
+            self.values = [value]
+
+        def clear(self):
+            self.values = []
+
+    class Clock:
+        def __init__(self, at):
+            self.at = at
+
+        def getCurrentWatermarkInMs(self):
+            return self.at
+
+    names = VIEWS.replace(" timestamp", "").replace(" string", "").split(", ")
+    rows = pd.DataFrame(views, columns=names)
+    state = S.Sessions(30 * 60_000, 7 * 86_400_000)
+    state.init(Handle())
+    assert list(state.handleInputRows((0,), iter([rows[:500], rows[500:]]), Clock(0))) == []
+    assert len(seen) == 1
+    out = pd.concat(state.handleExpiredTimer((0,), Clock(10**15), None))
+    seen.clear()
+    keys = list(S.KEYS)
+    assert sorted(out["pageview_pk"]) == sorted(rows["pageview_pk"])
+    sizes = rows.groupby(keys, dropna=False)["pageview_pk"].size()
+    assert sorted(out.groupby(keys, dropna=False)["total_pages_in_session"].first()) == sorted(sizes)
+    assert (out.groupby(keys, dropna=False)["page_number_in_session"].max() == out.groupby(keys, dropna=False)["total_pages_in_session"].first()).all()
+    again = pd.concat(state.handleInputRows((0,), iter([rows[:200]]), Clock(0)))
+    assert set(again["kind"]) == {"late"} and len(again) == 200
