@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shoptrail.functions.money import money
 from shoptrail.functions.numbers import ratio
 
 _TOUCH = {
@@ -22,9 +23,10 @@ _CONTEXT = {
     "geo_region": "geo_region",
     "geo_city": "geo_city",
 }
+_REVENUE = "purchase_revenue_per_session"
 _SUMS = (
     "page_views_per_session", "events_per_session", "session_duration_seconds",
-    "session_engagement_time_msec", "purchase_events_per_session", "purchase_revenue_per_session",
+    "session_engagement_time_msec", "purchase_events_per_session", _REVENUE,
 )
 _AVERAGED = ("session_duration_seconds", "page_views_per_session")
 
@@ -35,6 +37,8 @@ def user_totals(sessions: DataFrame) -> DataFrame:
     The two distinct counts are taken in two steps, first per (user, session
     id) and then per user, so sessions are not copied once per distinct count
     and a user with very many sessions is spread over tasks by session id.
+    Revenue is added up as decimals, so that it does not depend on the order of
+    the sessions; a user with an amount of more than nine places gets the plain sum.
     Touches are the session of the smallest and of the largest (date, start,
     key), an aggregate and not a sorted list.
     """
@@ -45,18 +49,25 @@ def user_totals(sessions: DataFrame) -> DataFrame:
         *[F.col(c).alias(f"touch_{n}") for n, c in _TOUCH.items()],
         *[F.col(c).alias(f"context_{n}") for n, c in _CONTEXT.items()],
     )
-    per_session = sessions.groupBy("user_fk", "ga_session_id").agg(
+    revenue, exact = F.col(_REVENUE), F.col("_exact")
+    # Not so near its decimal that they are one amount: a number of more places, or of no size that fits.
+    other = F.coalesce(F.abs(exact.cast("double") - revenue) > F.abs(revenue) * 1e-12, revenue.isNotNull())
+    per_session = sessions.withColumn("_exact", money(_REVENUE)).groupBy("user_fk", "ga_session_id").agg(
         *[F.sum(c).alias(c) for c in _SUMS],
+        F.try_sum("_exact").alias("_exact"),
+        F.count_if(other).alias("_inexact"),
         *[F.count(c).alias(f"{c}_known") for c in _AVERAGED],
         F.max("is_conversion_session").alias("converted"),
         F.min(touch).alias("first"),
         F.max(touch).alias("last"),
     )
     counted = F.col("ga_session_id").isNotNull()
+    lost = F.sum("_inexact") + F.count_if(revenue.isNotNull() & exact.isNull())
+    total = F.when(lost == 0, F.try_sum("_exact").cast("string").cast("double"))
     return per_session.groupBy("user_fk").agg(
         F.count_if(counted).alias("total_sessions"),
         F.count_if(counted & (F.col("converted") == 1)).alias("conversion_sessions"),
-        *[F.sum(c).alias(c) for c in _SUMS],
+        *[(F.coalesce(total, F.sum(c)) if c == _REVENUE else F.sum(c)).alias(c) for c in _SUMS],
         *[F.sum(f"{c}_known").alias(f"{c}_known") for c in _AVERAGED],
         F.max("converted").alias("has_ever_purchased"),
         F.min("first").alias("first"),

@@ -149,3 +149,19 @@ def test_friction_counts_do_not_fan_out(spark):
     clicks = spark.createDataFrame([("s1", f"c{n}") for n in range(4)], "ga_session_id string, rage_click_pk string")
     rows = [tuple(r) for r in analyses.friction_by_score(sessions, errors, clicks).collect()]
     assert rows == [(None, 1, 0), (5, 2, 4), (9, 0, 0)]
+
+
+def test_revenue_of_a_user_does_not_depend_on_the_order_of_sessions(spark):
+    """Ten times 0.1 is 1.0, which a sum of doubles misses; a number that is no amount keeps the plain sum."""
+    schema = ("session_pk string, user_fk string, event_date date, ga_session_id string, session_start_ts timestamp, "
+              + ", ".join(f"{c} bigint" for c in users._SUMS[:-1]) + ", purchase_revenue_per_session double, is_conversion_session bigint, "
+              + ", ".join(f"{c} string" for c in (*list(users._TOUCH.values())[:3], *users._CONTEXT.values())))
+    day = dt.date(2024, 1, 1)
+
+    def row(n, user, revenue):
+        return (f"{user}{n}", user, day, str(n), dt.datetime(2024, 1, 1, 0, n), 1, 1, 1, 1, 1, revenue, 1, *[None] * 8)
+
+    amounts = {"cents": [0.1] * 10, "third": [1 / 3] * 3, "nothing": [None] * 2, "huge": [1e300, 1.0], "mixed": [None, 0.1, 0.2, 0.3]}
+    rows = [row(n, user, amount) for user, of_user in amounts.items() for n, amount in enumerate(of_user)]
+    got = {r.user_fk: r.purchase_revenue_per_session for r in users.user_totals(spark.createDataFrame(rows, schema)).collect()}
+    assert got == {"cents": 1.0, "third": 1.0, "nothing": None, "huge": 1e300, "mixed": 0.6}
