@@ -60,9 +60,10 @@ def page_flow(
         F.lead("_first_ts").over(across).alias("_slice_next"),
         F.lag("_last_place").over(across).alias("_slice_previous"),
     )
-    # Joined before the window: rows are shuffled once, by group and slice, and the window finds them so.
+    # Joined before the window: rows are shuffled once, by group and slice, and the window finds them so. Every
+    # view has its slice's row and only one; as a left join Spark leaves it out for readers of other columns.
     ordered = Window.partitionBy("_group", "_slice").orderBy(ts, tie)
-    joined = sliced.join(stitched, (F.col("_group") == F.col("_g")) & (F.col("_slice") == F.col("_s"))).withColumns({
+    joined = sliced.join(stitched, (F.col("_group") == F.col("_g")) & (F.col("_slice") == F.col("_s")), "left").withColumns({
         "_next": F.lead(ts).over(ordered),
         "_previous": F.lag(place).over(ordered),
         "_number": F.row_number().over(ordered),
