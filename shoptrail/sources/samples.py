@@ -15,6 +15,7 @@ user and session ids in two sources.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from shoptrail import schemas
 
@@ -44,11 +45,15 @@ def _named(**values: str) -> str:
 
 
 def _event_rows(spark: SparkSession, folder: str) -> DataFrame:
+    return _derived_events(table(spark, folder, "events"))
+
+
+def _derived_events(events: DataFrame) -> DataFrame:
     """``events`` with UTC time, the number in its JSON text, and a session id.
 
     A session lasts from noon to noon two days later, so it crosses midnight.
     """
-    rows = table(spark, folder, "events").selectExpr(
+    rows = events.selectExpr(
         "*", "cast(ts as timestamp) as happened", "cast(get_json_object(props, '$.k') as bigint) as k",
         "cast(floor(value * 100) as bigint) as cents",
     )
@@ -156,6 +161,16 @@ def ga4_events(spark: SparkSession, folder: str) -> DataFrame:
     return _shape(_event_rows(spark, folder), schemas.GA4_EVENTS, _GA4)
 
 
+def ga4_events_by_day(spark: SparkSession, folder: str) -> DataFrame:
+    """The same rows, gathered and sorted by day while they are still plain rows of ``events``.
+
+    The nested rows are many times as large: shuffling and sorting those spills.
+    """
+    days = table(spark, folder, "events").withColumn("event_date", F.expr("date_format(cast(ts as timestamp), 'yyyyMMdd')"))
+    gathered = days.hint("rebalance", "event_date").sortWithinPartitions("event_date")
+    return _shape(_derived_events(gathered), schemas.GA4_EVENTS, {**_GA4, "event_date": "event_date"})
+
+
 # ------------------------------------------------------------------- Snowplow
 def _order_rows(spark: SparkSession, folder: str) -> DataFrame:
     """``orders`` with a time of day and an id of the three-year period."""
@@ -433,10 +448,20 @@ def contentsquare(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return _shape(rows(spark, folder), schemas.CONTENTSQUARE_TABLES[name], values)
 
 
-def spread_tables(spark: SparkSession, folder: str, target: str, files: int = 8) -> None:
-    """Copy the tables the feeds are made of, each in several files.
+ROWS_A_FILE = 500_000
+_KEY = {"events": "event_id", "orders": "o_orderkey", "lineitem": "l_orderkey"}
+
+
+def base_of(name: str) -> str:
+    """The plain table that a ContentSquare table is made of."""
+    return {_event_rows: "events", _order_rows: "orders"}.get(_CS_TABLES["js_errors" if name in schemas.CONTENTSQUARE_SIGNALS else name][0], "lineitem")
+
+
+def spread_table(spark: SparkSession, folder: str, name: str, target: str, files: int = 8) -> None:
+    """Copy a table the feeds are made of in several files, more for more rows.
 
-    A table of one small file is read by one task, and so are its feeds.
+    A table of one small file is read by one task, and so are its feeds. Rows are dealt by key: dealing
+    them in turn sorts all rows first.
     """
-    for name in ("events", "orders", "lineitem"):
-        table(spark, folder, name).repartition(files).write.parquet(f"{target}/{name}.parquet")
+    rows = table(spark, folder, name)
+    rows.repartition(max(files, rows.count() // ROWS_A_FILE + 1), _KEY[name]).write.parquet(f"{target}/{name}.parquet")

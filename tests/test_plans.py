@@ -7,15 +7,17 @@ from types import SimpleNamespace
 
 import pytest
 
+import catalog.spark_queries as catalog
 from catalog.spark_queries import Feed
 from shoptrail import schemas
 from shoptrail.operators.funnel import conversion_funnel
 from shoptrail.operators.users import user_totals
 from shoptrail.plans import facts, integration, staging
 from shoptrail.session import local_session, work_path, work_root
-from shoptrail.sources import readers, tables
+from shoptrail.sources import readers, samples, tables
 
 FOLDER = "/root/testdata/sf0.001"
+spread_table = samples.spread_table
 
 
 def plan(df) -> str:
@@ -164,3 +166,37 @@ def test_untimed_views_are_spread_by_their_key(spark):
     got = [r[0] for r in df.orderBy("k").select(_untimed_slice(df, "k")).collect()]
     assert got == sorted(got) and len(set(got)) == 8
     assert df.select(F.max(_untimed_slice(df, "k"))).first()[0] < 0
+
+
+def test_readers_of_other_columns_do_not_stitch_page_flow(spark):
+    views = Feed(spark, FOLDER).fact("pageview_fct")
+    for df in (views.groupBy("page_path").count(), views.select("pageview_pk", "largest_contentful_paint")):
+        text = df._jdf.queryExecution().optimizedPlan().toString()
+        assert "Join" not in text and "Window" not in text
+    assert "Join" in views._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_ga4_rows_are_gathered_by_day_before_they_are_nested(spark):
+    """The shuffle and the sort see plain rows, and the writer finds the days sorted."""
+    text = samples.ga4_events_by_day(spark, FOLDER)._jdf.queryExecution().optimizedPlan().toString()
+    assert text.index("event_params") < text.index("Sort [event_date") < text.index("RebalancePartitions")
+    assert "event_params" not in text[text.index("RebalancePartitions"):]
+
+
+def test_a_feed_copies_its_own_table_only(spark, monkeypatch):
+    copied = []
+    monkeypatch.setattr(catalog, "STORED", {})
+    monkeypatch.setattr(samples, "spread_table", lambda spark, folder, name, target: (copied.append(name), spread_table(spark, folder, name, target)))
+    feed = Feed(spark, FOLDER)
+    feed.raw_ga4, feed.cs("pageviews"), feed.cs(next(iter(schemas.CONTENTSQUARE_SIGNALS)))
+    assert copied == ["events"]
+    feed.cs("rage_click"), feed.raw_snowplow
+    assert copied == ["events", "lineitem", "orders"]
+
+
+def test_a_copy_has_more_files_for_more_rows(spark, monkeypatch):
+    monkeypatch.setattr(samples, "ROWS_A_FILE", 100)
+    path = work_path(spark, "spread")
+    samples.spread_table(spark, FOLDER, "orders", path)
+    copy = spark.read.parquet(f"{path}/orders.parquet")
+    assert len(copy.inputFiles()) == 16 and copy.exceptAll(spark.read.parquet(f"{FOLDER}/orders.parquet")).isEmpty()
