@@ -2,7 +2,7 @@
 
 ``mode='full'`` rebuilds every table. ``mode='incremental'`` loads the days
 after each source's last loaded one and merges them by key. Every table is
-written to the shared work folder and tested there; only a table that passed
+written beside the published one and tested there; only a table that passed
 replaces the published one, so a failed run leaves the old data in place.
 """
 
@@ -106,22 +106,25 @@ class Run:
         replaced: Column | None = None,
         tests: Sequence[quality.Check] = (),
     ) -> None:
-        """Test ``new`` in the work folder, then publish it (SNK-5, DQ-14)."""
+        """Write ``new`` beside the table, by day, test it there, then publish it (SNK-5, DQ-14).
+
+        What is tested is the copy that takes the table's place: rows are written once.
+        """
         path = self.path(layer, name)
         target = self.table(layer, name) if self.incremental else None
+
+        def test(df: DataFrame) -> None:
+            self.test(name, df, tests)
+
+        if target is None:
+            tables.write_days(new, path, cluster, test)
+            return
         with self.work_files():
+            # Days, keys and rows of what is new are read from one copy.
             fresh = self.written(new, name)
-            if target is None:
-                self.test(name, fresh, tests)
-                tables.write_days(fresh, path, cluster)
-                return
             merge = up.merge_by_key(target, fresh, keys, key_fixes_day, replaced)
             if merge.days:
-                merged = self.written(merge.rows, name)
-                self.test(name, merged, tests)
-                left = {row[0] for row in merged.select(tables.DAY).distinct().collect()}
-                tables.replace_days(merged, path, cluster)
-                tables.remove_days(self.spark, path, set(merge.days) - left)
+                tables.exchange_days(merge.rows, path, merge.days, cluster, test)
 
     def news(self, layer: str, name: str, rows: DataFrame, last_day: Column | None = None) -> tuple[DataFrame, Column | None]:
         """The rows to load into a table, and the target rows they replace.
@@ -240,7 +243,7 @@ def load_pageviews(run: Run, pageviews: DataFrame) -> None:
     target = run.table("warehouse", "pageview_fct") if run.incremental else None
     with run.work_files():
         if target is not None:
-            rows = run.written(rows, "pageview_rows")
+            rows = run.written(rows, "pageview_rows")  # read for its sessions, its keys and its rows
             kept, changed = target, rows.select(*groups)
             if replaced is not None:
                 kept = target.filter(~F.coalesce(replaced, F.lit(False)))
@@ -248,7 +251,8 @@ def load_pageviews(run: Run, pageviews: DataFrame) -> None:
             again = up.rows_of_groups(kept, changed, groups).select(*rows.columns)
             new_keys = rows.select("pageview_pk")
             again = again.join(new_keys, "pageview_pk", "left_anti")
-            rows = run.written(rows.unionByName(again), "pageview_rows")
+            # Few rows: sessions over the boundary. The flow reads them twice, the new rows are written already.
+            rows = rows.unionByName(run.written(again, "pageview_rows"))
         run.publish(
             "warehouse", "pageview_fct", facts.with_flow(rows), ["pageview_pk"],
             replaced=replaced, tests=_tests("pageview_fct"),

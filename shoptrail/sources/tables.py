@@ -39,9 +39,15 @@ def _laid_out(df: DataFrame, cluster: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", DAY).sortWithinPartitions(DAY, *keys)
 
 
-def write_days(df: DataFrame, path: str, cluster: Sequence[str] = ()) -> None:
-    """Write the whole table anew, one folder per day (SNK-2, SNK-3)."""
-    _swap(df.sparkSession, path, lambda beside: _laid_out(df, cluster).write.partitionBy(DAY).parquet(beside))
+def write_days(df: DataFrame, path: str, cluster: Sequence[str] = (), test: Callable[[DataFrame], None] | None = None) -> None:
+    """Write the whole table anew, one folder per day (SNK-2, SNK-3); ``test`` sees it before it takes the old one's place."""
+    _swap(df.sparkSession, path, lambda beside: _write_beside(df, beside, cluster, test))
+
+
+def _write_beside(df: DataFrame, beside: str, cluster: Sequence[str], test: Callable[[DataFrame], None] | None) -> None:
+    _laid_out(df, cluster).write.partitionBy(DAY).parquet(beside)
+    if test is not None:
+        test(df.sparkSession.read.schema(df.schema).parquet(beside))
 
 
 def replace_days(df: DataFrame, path: str, cluster: Sequence[str] = ()) -> None:
@@ -53,6 +59,34 @@ def replace_days(df: DataFrame, path: str, cluster: Sequence[str] = ()) -> None:
     )
 
 
+def exchange_days(
+    df: DataFrame, path: str, days: Iterable, cluster: Sequence[str] = (), test: Callable[[DataFrame], None] | None = None
+) -> None:
+    """Let ``df`` be the content of ``days``, which hold all its rows; those it has no rows of go.
+
+    Written once, beside the table and by day; what passed ``test`` there takes the days' places by name. ``df`` may
+    read the table itself. Old days are deleted last: a run that dies before leaves them beside the table.
+    """
+    spark, mark = df.sparkSession, uuid.uuid4().hex
+    beside, old = f"{path}__new_{mark}", f"{path}__old_{mark}"
+    try:
+        _write_beside(df, beside, cluster, test)
+    except BaseException:
+        remove(spark, [beside])
+        raise
+    folder = spark._jvm.org.apache.hadoop.fs.Path
+    files = folder(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(folder(old))
+    for day in days:
+        live, fresh = folder(_day_path(path, day)), folder(_day_path(beside, day))
+        if files.exists(live) and not files.rename(live, folder(_day_path(old, day))):
+            raise OSError(f"cannot move {live} aside")
+        if files.exists(fresh) and not files.rename(fresh, live):
+            raise OSError(f"cannot publish {live}")
+    remove(spark, [beside, old])
+    spark.catalog.refreshByPath(path)
+
+
 def write_whole(df: DataFrame, path: str) -> None:
     """Full rebuild of a table without days, such as the user dimension (SNK-2)."""
     _swap(df.sparkSession, path, lambda beside: df.write.parquet(beside))
@@ -94,5 +128,9 @@ def remove(spark: SparkSession, paths: Iterable[str]) -> None:
         folder.getFileSystem(conf).delete(folder, True)
 
 
+def _day_path(path: str, day) -> str:
+    return f"{path}/{DAY}={'__HIVE_DEFAULT_PARTITION__' if day is None else day.isoformat()}"
+
+
 def remove_days(spark: SparkSession, path: str, days: Iterable) -> None:
-    remove(spark, [f"{path}/{DAY}={'__HIVE_DEFAULT_PARTITION__' if day is None else day.isoformat()}" for day in days])
+    remove(spark, [_day_path(path, day) for day in days])

@@ -63,21 +63,14 @@ def merge_batch(
     one_per_key(batch, keys, newest).write.parquet(staged)
     rows = spark.read.schema(batch.schema).parquet(staged)
     target = tables.read_table(spark, path)
-    used = [staged]
     if target is None:
         if rows.take(1):
             tables.write_days(rows, path, cluster)
     else:
         merge = merge_by_key(target, rows, keys)
         if merge.days:
-            merged = work_path(spark, "merged")
-            used.append(merged)
-            merge.rows.write.parquet(merged)
-            ready = spark.read.schema(merge.rows.schema).parquet(merged)
-            left = {row[0] for row in ready.select(tables.DAY).distinct().collect()}
-            tables.replace_days(ready, path, cluster)
-            tables.remove_days(spark, path, set(merge.days) - left)
-    tables.remove(spark, used)
+            tables.exchange_days(merge.rows, path, merge.days, cluster)
+    tables.remove(spark, [staged])
 
 
 def merge_stream(
