@@ -107,6 +107,12 @@ def declared_checks(model: str) -> list[q.Check]:
     return DECLARED[model].checks()
 
 
+def tested_columns(model: str) -> list[str]:
+    """The columns its declared tests read."""
+    declared = DECLARED[model]
+    return list(dict.fromkeys((*declared.unique, *declared.not_null, *declared.accepted)))
+
+
 def test_model(model: str, df: DataFrame) -> DataFrame:
     return q.run_checks(model, df, declared_checks(model))
 
