@@ -74,6 +74,17 @@ def one_per_key(rows: DataFrame, keys: Sequence[str], newest: Sequence[str] = ()
     )
 
 
+def repeated_keys(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The hashes of keys that occur more than once, and by chance of a few others; reads the key columns only."""
+    return rows.groupBy(F.xxhash64(*keys).alias("key_hash")).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1).select("key_hash")
+
+
+def one_of_repeated(rows: DataFrame, repeated: DataFrame, keys: Sequence[str], newest: Sequence[str] = ()) -> DataFrame:
+    """``one_per_key`` where only the rows of ``repeated_keys`` are compared; all others stay as they are."""
+    same = F.xxhash64(*[rows[k] for k in keys]) == repeated["key_hash"]
+    return rows.join(repeated, same, "left_anti").unionByName(one_per_key(rows.join(repeated, same, "left_semi"), keys, newest))
+
+
 # ----------------------------------------------------------------------- merge
 @dataclass(frozen=True)
 class Merge:

@@ -167,13 +167,19 @@ _CS_STAGES: dict[str, tuple[str, Callable[[DataFrame], DataFrame]]] = {
 
 
 def _one_each(run: Run, events: DataFrame) -> DataFrame:
-    return up.one_per_key(events, ["event_pk"], ["event_ts"]) if run.options.drop_copies else events
+    """One row per event. Most events come once: keys that come again are looked for first, in their column
+    alone, and only rows of these are shuffled and sorted to be compared."""
+    if not run.options.drop_copies:
+        return events
+    repeated = run.written(up.repeated_keys(events, ["event_pk"]), "repeated_keys")
+    return events if repeated.isEmpty() else up.one_of_repeated(events, repeated, ["event_pk"], ["event_ts"])
 
 
 def _stored(run: Run, name: str, staged: DataFrame, cluster: Sequence[str]) -> DataFrame:
     """The staged table of a feed, with its new days loaded and tested."""
     rows, replaced = run.news("staging", name, staged)
-    run.publish("staging", name, _one_each(run, rows), ["event_pk"], cluster=cluster, replaced=replaced, tests=_tests(name))
+    with run.work_files():
+        run.publish("staging", name, _one_each(run, rows), ["event_pk"], cluster=cluster, replaced=replaced, tests=_tests(name))
     stored = run.table("staging", name)
     return staged.limit(0) if stored is None else stored.select(*staged.columns)
 
@@ -365,10 +371,12 @@ def run_all(
     with run.work_files():
         unified = {}
         for name, df in integrate(run, staged).items():
-            # What the fact will load, written once: the declared tests and the fact both read that copy.
+            # What the fact will load. Sessions are aggregates, written once: the declared tests and the fact both read
+            # that copy. The others are projections of staged tables: the tests read few columns of those, and the
+            # fact its own.
             last_day = _session_load(run)[1] if name == "int__session" else None
             fresh, _ = run.news("warehouse", _FACT_OF[name], df, last_day)
-            unified[name] = run.written(fresh, name)
+            unified[name] = run.written(fresh, name) if name == "int__session" else fresh
             run.test(name, unified[name], checks.declared_checks(name))
         load_facts(run, staged, unified)
     marts.register_marts(published(spark, root))
