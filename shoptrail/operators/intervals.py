@@ -5,7 +5,9 @@ join is an equality on key and bin, which shuffles and splits heavy keys like an
 other. An event has one bin per size and an interval one size, so no pair is
 found twice. An interval goes to the smallest of several bin sizes in which it
 has few bins: a view of a minute lies in one or two short bins, one of a week
-in a few long ones, and neither makes many rows.
+in a few long ones, and neither makes many rows. Rows of both sides are
+shuffled once per bin, so few bins count more than narrow ones: what shares a
+bin without meeting is left out inside the join.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from pyspark.sql import functions as F
 
 # Bin sizes in seconds: 5 minutes, an hour, a day, 30 days. Intervals longer than all take the last.
 BINS = (300, 3_600, 86_400, 2_592_000)
-MOST_BINS = 16
+MOST_BINS = 4
 
 
 def _micros(ts: Column) -> Column:
@@ -28,6 +30,27 @@ def _bin(ts: Column, seconds: Column) -> Column:
     return F.floor(_micros(ts) / (seconds * 1_000_000)).cast("long")
 
 
+def in_bins(intervals: DataFrame, keys: Sequence[str], start: str, end: str, values: Sequence[str], bins: Sequence[int] = BINS) -> DataFrame:
+    """A row for each interval and bin it overlaps, with what ``holding`` needs of it."""
+    length = _micros(F.col(end)) - _micros(F.col(start))
+    last = len(bins) - 1
+    # A bin's number tells its size too: the sizes take turns.
+    which, size = F.lit(last), F.lit(bins[last]).cast("long")
+    for i in range(last - 1, -1, -1):
+        short = length <= (MOST_BINS - 1) * bins[i] * 1_000_000
+        which, size = F.when(short, i).otherwise(which), F.when(short, F.lit(bins[i]).cast("long")).otherwise(size)
+    # Bounds that are asked for as values are not carried twice.
+    since, until = start if start in values else "_start", end if end in values else "_end"
+    bounds = [F.col(c).alias(name) for c, name in ((start, "_start"), (end, "_end")) if c not in values]
+    spans = intervals.filter(F.col(start) < F.col(end)).select(
+        *[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)], *bounds, *values, size.alias("_size"), which.alias("_which"),
+    )
+    # The end itself is outside: the last bin is that of the microsecond before.
+    final = F.floor((_micros(F.col(until)) - 1) / (F.col("_size") * 1_000_000)).cast("long")
+    bin_ = F.explode(F.sequence(_bin(F.col(since), F.col("_size")), final))
+    return spans.withColumn("_bin", bin_).withColumn("_bin", F.col("_bin") * len(bins) + F.col("_which")).drop("_size", "_which")
+
+
 def holding(
     events: DataFrame,
     intervals: DataFrame,
@@ -47,20 +70,12 @@ def holding(
     clash = sorted(set(values) & set(events.columns))
     if clash:
         raise ValueError(f"both sides have {clash}")
-    length = _micros(F.col(end)) - _micros(F.col(start))
-    size = F.lit(bins[-1]).cast("long")
-    for seconds in reversed(bins[:-1]):
-        size = F.when(length <= (MOST_BINS - 1) * seconds * 1_000_000, F.lit(seconds).cast("long")).otherwise(size)
-    spans = intervals.filter(F.col(start) < F.col(end)).select(
-        *[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)], F.col(start).alias("_start"), F.col(end).alias("_end"), *values, size.alias("_size"),
-    )
-    # The end itself is outside: the last bin is that of the microsecond before.
-    until = F.floor((_micros(F.col("_end")) - 1) / (F.col("_size") * 1_000_000)).cast("long")
-    spans = spans.withColumn("_bin", F.explode(F.sequence(_bin(F.col("_start"), F.col("_size")), until)))
-    points = events.filter(F.col(ts).isNotNull()).withColumn("_at_size", F.explode(F.array(*[F.lit(b).cast("long") for b in bins])))
-    points = points.withColumn("_at_bin", _bin(F.col(ts), F.col("_at_size")))
-    on = (F.col("_at_size") == F.col("_size")) & (F.col("_at_bin") == F.col("_bin"))
+    spans = in_bins(intervals, keys, start, end, values, bins)
+    since, until = start if start in values else "_start", end if end in values else "_end"
+    numbers = [_bin(F.col(ts), F.lit(b).cast("long")) * len(bins) + i for i, b in enumerate(bins)]
+    points = events.filter(F.col(ts).isNotNull()).withColumn("_at_bin", F.explode(F.array(*numbers)))
+    on = F.col("_at_bin") == F.col("_bin")
     for i, k in enumerate(keys):
         on = on & (points[k] == F.col(f"_key{i}"))
-    met = points.join(spans, on & (F.col("_start") <= points[ts]) & (points[ts] < F.col("_end")))
+    met = points.join(spans, on & (F.col(since) <= points[ts]) & (points[ts] < F.col(until)))
     return met.select(*[points[f"`{c}`"] for c in events.columns], *values)
