@@ -30,34 +30,48 @@ def session_fct(sessions: DataFrame) -> DataFrame:
     )
 
 
-def pageview_rows(pageviews: DataFrame, options: Options = DEFAULTS) -> DataFrame:
-    """All of a page view that does not depend on its neighbours."""
-    url = F.coalesce(F.col("page_location"), F.col("page_url"))
-    engagement = F.coalesce(whole("engagement_time_msec"), F.lit(0))
+def bare_pageviews(pageviews: DataFrame) -> DataFrame:
+    """Page views with their key, without what follows from other columns of the same row."""
     return pageviews.select(
         surrogate_key("source", "event_pk").alias("pageview_pk"),
         "source", "user_fk", "event_date", "ga_session_id", "pageview_ts",
         "page_location", "page_title", "page_referrer",
         *schemas.PAGE_URL,
-        url_path(url, options.strict_url).alias("page_path"),
-        url_host(url, options.strict_url).alias("page_hostname"),
-        url_query(url).alias("query_string"),
-        engagement.alias("engagement_time_msec"),
-        (engagement / F.lit(1000.0)).alias("engagement_time_seconds"),
+        F.coalesce(whole("engagement_time_msec"), F.lit(0)).alias("engagement_time_msec"),
         F.coalesce("entrances", F.lit(0)).alias("entrances"),
         F.coalesce((whole("session_engaged") == 1).cast("bigint"), F.lit(0)).alias("is_engaged_session"),
-        *schemas.TRAFFIC,
-        source_medium().alias("traffic_source_full"),
-        *schemas.DEVICE, *schemas.BROWSER,
+        *schemas.TRAFFIC, *schemas.DEVICE, *schemas.BROWSER,
         "browser_viewheight", "browser_viewwidth",
         *schemas.GEO, *schemas.WEB_VITALS,
     )
 
 
+def with_url_parts(rows: DataFrame, options: Options = DEFAULTS) -> DataFrame:
+    """Bare page views with what follows from their other columns."""
+    url = F.coalesce(F.col("page_location"), F.col("page_url"))
+    return rows.withColumns({
+        "page_path": url_path(url, options.strict_url),
+        "page_hostname": url_host(url, options.strict_url),
+        "query_string": url_query(url),
+        "engagement_time_seconds": F.col("engagement_time_msec") / F.lit(1000.0),
+        "traffic_source_full": source_medium(),
+    })
+
+
+def pageview_rows(pageviews: DataFrame, options: Options = DEFAULTS) -> DataFrame:
+    """All of a page view that does not depend on its neighbours."""
+    return with_url_parts(bare_pageviews(pageviews), options)
+
+
 def with_flow(rows: DataFrame) -> DataFrame:
     """Page view rows with their place in the session, in published order."""
+    return placed(page_flow(rows))
+
+
+def placed(rows: DataFrame) -> DataFrame:
+    """What ``page_flow`` gave, in published order: a projection."""
     number, total = F.col("page_number_in_session"), F.col("total_pages_in_session")
-    return page_flow(rows).select(
+    return rows.select(
         "pageview_pk", "source", "user_fk", "event_date", "ga_session_id", "pageview_ts",
         "page_location", "page_title", "page_referrer", "previous_page_location",
         *schemas.PAGE_URL,

@@ -20,8 +20,9 @@ from pyspark.sql import functions as F
 from shoptrail.config import CONTENTSQUARE, Options
 from shoptrail.operators import quality
 from shoptrail.operators import upsert as up
+from shoptrail.operators.flow import page_flow
 from shoptrail.plans import checks, facts, integration, marts, staging
-from shoptrail.session import use_utc, work_path
+from shoptrail.session import lean_steps, use_utc, work_path
 from shoptrail.sources import tables
 
 FULL = "full"
@@ -105,10 +106,13 @@ class Run:
         key_fixes_day: bool = False,
         replaced: Column | None = None,
         tests: Sequence[quality.Check] = (),
+        gathered: bool = False,
+        shape: Callable[[DataFrame], DataFrame] | None = None,
     ) -> None:
         """Write ``new`` beside the table, by day, test it there, then publish it (SNK-5, DQ-14).
 
-        What is tested is the copy that takes the table's place: rows are written once.
+        What is tested is the copy that takes the table's place: rows are written once. ``gathered`` tells that each
+        row comes, under its own day, from a table by day; ``shape`` is a projection still to be made of ``new``.
         """
         path = self.path(layer, name)
         target = self.table(layer, name) if self.incremental else None
@@ -117,11 +121,11 @@ class Run:
             self.test(name, df, tests)
 
         if target is None:
-            tables.write_days(new, path, cluster, test)
+            tables.write_days(new, path, cluster, test, gathered, shape)
             return
         with self.work_files():
             # Days, keys and rows of what is new are read from one copy.
-            fresh = self.written(new, name)
+            fresh = self.written(new if shape is None else shape(new), name)
             merge = up.merge_by_key(target, fresh, keys, key_fixes_day, replaced)
             if merge.days:
                 tables.exchange_days(merge.rows, path, merge.days, cluster, test)
@@ -245,20 +249,28 @@ def load_pageviews(run: Run, pageviews: DataFrame) -> None:
     """Page views, with sessions that run over the load boundary numbered anew."""
     groups = ("source", "user_fk", "ga_session_id")
     news, replaced = run.news("warehouse", "pageview_fct", pageviews)
-    rows = facts.pageview_rows(news, run.options)
     target = run.table("warehouse", "pageview_fct") if run.incremental else None
     with run.work_files():
-        if target is not None:
-            rows = run.written(rows, "pageview_rows")  # read for its sessions, its keys and its rows
-            kept, changed = target, rows.select(*groups)
-            if replaced is not None:
-                kept = target.filter(~F.coalesce(replaced, F.lit(False)))
-                changed = changed.unionByName(target.filter(replaced).select(*groups))
-            again = up.rows_of_groups(kept, changed, groups).select(*rows.columns)
-            new_keys = rows.select("pageview_pk")
-            again = again.join(new_keys, "pageview_pk", "left_anti")
-            # Few rows: sessions over the boundary. The flow reads them twice, the new rows are written already.
-            rows = rows.unionByName(run.written(again, "pageview_rows"))
+        if target is None:
+            # Whole rows are shuffled by session, then by day. A copy between lets the first shuffle's files go before
+            # the second one's come, and what follows from a row's own columns is made after both.
+            rows = run.written(page_flow(facts.bare_pageviews(news)), "pageview_flow")
+            run.publish(
+                "warehouse", "pageview_fct", rows, ["pageview_pk"], tests=_tests("pageview_fct"),
+                shape=lambda rows: facts.placed(facts.with_url_parts(rows, run.options)),
+            )
+            return
+        # Read for its sessions, its keys and its rows.
+        rows = run.written(facts.pageview_rows(news, run.options), "pageview_rows")
+        kept, changed = target, rows.select(*groups)
+        if replaced is not None:
+            kept = target.filter(~F.coalesce(replaced, F.lit(False)))
+            changed = changed.unionByName(target.filter(replaced).select(*groups))
+        again = up.rows_of_groups(kept, changed, groups).select(*rows.columns)
+        new_keys = rows.select("pageview_pk")
+        again = again.join(new_keys, "pageview_pk", "left_anti")
+        # Few rows: sessions over the boundary. The flow reads them twice, the new rows are written already.
+        rows = rows.unionByName(run.written(again, "pageview_rows"))
         run.publish(
             "warehouse", "pageview_fct", facts.with_flow(rows), ["pageview_pk"],
             replaced=replaced, tests=_tests("pageview_fct"),
@@ -306,8 +318,9 @@ def load_facts(run: Run, staged: dict[str, DataFrame], unified: dict[str, DataFr
         if sessions is None:  # a run without sessions, for example of friction events alone
             sessions = facts.session_fct(unified["int__session"].limit(0))
         load_pageviews(run, unified["int__pageview"])
-        _load(run, "product_view_fct", unified["int__product_view"], facts.product_view_fct, ["product_view_pk"])
-        _load(run, "add_to_cart_fct", unified["int__add_to_cart"], facts.add_to_cart_fct, ["add_to_cart_pk"])
+        # One staged row's items, or one staged row: staged tables are read by day.
+        _load(run, "product_view_fct", unified["int__product_view"], facts.product_view_fct, ["product_view_pk"], gathered=True)
+        _load(run, "add_to_cart_fct", unified["int__add_to_cart"], facts.add_to_cart_fct, ["add_to_cart_pk"], gathered=True)
         load_purchases(run, unified["int__purchase"], before, run.written(facts.first_visits(sessions), "first_visits"))
     events = staged.get("stg_ga4__event", staged.get("stg_snowplow__event"))
     if events is not None:
@@ -325,7 +338,7 @@ def load_facts(run: Run, staged: dict[str, DataFrame], unified: dict[str, DataFr
     }
     for name, (stage, build, key) in friction.items():
         if stage in staged:
-            _load(run, name, staged[stage], build, [key])
+            _load(run, name, staged[stage], build, [key], gathered=True)
     with run.work_files():
         users = run.written(facts.user_dim(sessions, run.options), "user_dim")
         run.test("user_dim", users, _tests("user_dim"))
@@ -363,22 +376,23 @@ def run_all(
     if mode not in (FULL, INCREMENTAL):
         raise ValueError(f"unknown mode {mode}")
     run = Run(use_utc(spark), root, mode, options or Options(), warn_only)
-    staged = stage_feeds(run, feeds)
-    for name in checks.STAGING:
-        # All others were tested before they were published.
-        if name in staged and name == "stg_contentsquare__session":
-            run.test(name, _recent(run, staged[name]), checks.declared_checks(name))
-    with run.work_files():
-        unified = {}
-        for name, df in integrate(run, staged).items():
-            # What the fact will load. Sessions are aggregates, written once: the declared tests and the fact both read
-            # that copy. The others are projections of staged tables: the tests read few columns of those, and the
-            # fact its own.
-            last_day = _session_load(run)[1] if name == "int__session" else None
-            fresh, _ = run.news("warehouse", _FACT_OF[name], df, last_day)
-            unified[name] = run.written(fresh, name) if name == "int__session" else fresh
-            run.test(name, unified[name], checks.declared_checks(name))
-        load_facts(run, staged, unified)
+    with lean_steps(run.spark):
+        staged = stage_feeds(run, feeds)
+        for name in checks.STAGING:
+            # All others were tested before they were published.
+            if name in staged and name == "stg_contentsquare__session":
+                run.test(name, _recent(run, staged[name]), checks.declared_checks(name))
+        with run.work_files():
+            unified = {}
+            for name, df in integrate(run, staged).items():
+                # What the fact will load. Sessions are aggregates, written once: the declared tests and the fact both read
+                # that copy. The others are projections of staged tables: the tests read few columns of those, and the
+                # fact its own.
+                last_day = _session_load(run)[1] if name == "int__session" else None
+                fresh, _ = run.news("warehouse", _FACT_OF[name], df, last_day)
+                unified[name] = run.written(fresh, name) if name == "int__session" else fresh
+                run.test(name, unified[name], checks.declared_checks(name))
+            load_facts(run, staged, unified)
     marts.register_marts(published(spark, root))
     return run
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -18,6 +20,27 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+# Shuffle files go with the statement that wrote them, and a scan's task takes that much of a table.
+_LEAN = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.files.maxPartitionBytes": "32m"}
+
+
+@contextmanager
+def lean_steps(spark: SparkSession) -> Iterator[None]:
+    """Settings for a run of many steps; the session's own come back at its end.
+
+    Left alone, shuffle files stay until the driver happens to collect garbage, so a run holds those of most of its
+    steps at once. Small scan tasks let rows that are sorted straight from a table stay in memory.
+    """
+    before = {name: spark.conf.get(name) for name in _LEAN}
+    try:
+        for name, value in _LEAN.items():
+            spark.conf.set(name, value)
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
 def local_session(app: str, cores: str = "*", partitions: int = 8) -> SparkSession:
     """A single-machine session for tests and the bench."""
     return (

@@ -29,25 +29,35 @@ def read_table(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
-def _laid_out(df: DataFrame, cluster: Sequence[str]) -> DataFrame:
+def _laid_out(
+    df: DataFrame, cluster: Sequence[str], gathered: bool = False, shape: Callable[[DataFrame], DataFrame] | None = None
+) -> DataFrame:
     """Rows gathered by day, sorted for row-group skipping (SNK-4).
 
     ``rebalance`` lets adaptive execution cut a large day over several tasks
-    and files and put small days together, whatever the days' sizes are.
+    and files and put small days together, whatever the days' sizes are. Rows
+    ``gathered`` already, as a table by day is read, are only sorted: a task
+    reads files of few days. ``shape`` is a projection made after that, so
+    that what it adds is not shuffled.
     """
-    keys = [c for c in cluster if c in df.columns]
-    return df.hint("rebalance", DAY).sortWithinPartitions(DAY, *keys)
+    rows = df if gathered else df.hint("rebalance", DAY)
+    if shape is not None:
+        rows = shape(rows)
+    return rows.sortWithinPartitions(DAY, *[c for c in cluster if c in rows.columns])
 
 
-def write_days(df: DataFrame, path: str, cluster: Sequence[str] = (), test: Callable[[DataFrame], None] | None = None) -> None:
+def write_days(
+    df: DataFrame, path: str, cluster: Sequence[str] = (), test: Callable[[DataFrame], None] | None = None,
+    gathered: bool = False, shape: Callable[[DataFrame], DataFrame] | None = None,
+) -> None:
     """Write the whole table anew, one folder per day (SNK-2, SNK-3); ``test`` sees it before it takes the old one's place."""
-    _swap(df.sparkSession, path, lambda beside: _write_beside(df, beside, cluster, test))
+    _swap(df.sparkSession, path, lambda beside: _write_beside(_laid_out(df, cluster, gathered, shape), beside, test))
 
 
-def _write_beside(df: DataFrame, beside: str, cluster: Sequence[str], test: Callable[[DataFrame], None] | None) -> None:
-    _laid_out(df, cluster).write.partitionBy(DAY).parquet(beside)
+def _write_beside(rows: DataFrame, beside: str, test: Callable[[DataFrame], None] | None) -> None:
+    rows.write.partitionBy(DAY).parquet(beside)
     if test is not None:
-        test(df.sparkSession.read.schema(df.schema).parquet(beside))
+        test(rows.sparkSession.read.schema(rows.schema).parquet(beside))
 
 
 def replace_days(df: DataFrame, path: str, cluster: Sequence[str] = ()) -> None:
@@ -70,7 +80,7 @@ def exchange_days(
     spark, mark = df.sparkSession, uuid.uuid4().hex
     beside, old = f"{path}__new_{mark}", f"{path}__old_{mark}"
     try:
-        _write_beside(df, beside, cluster, test)
+        _write_beside(_laid_out(df, cluster), beside, test)
     except BaseException:
         remove(spark, [beside])
         raise
